@@ -24,7 +24,7 @@ from tidemill.operators import people as p
 from tidemill.operators import purchases as b
 from tidemill.operators.als import history_of, titles_in
 from tidemill.operators.skew import lookup
-from tidemill.operators.traffic import column_stats, pv_ip_uv, sum_by_key
+from tidemill.operators import traffic as t
 from tidemill.session import new_folder
 from tidemill.sinks.text import write_sorted_text
 from tidemill.sources import text as src
@@ -353,12 +353,12 @@ SELECT count(*) AS pv, count(DISTINCT event_type) AS ips, count(DISTINCT user_id
 FROM events"""
 )
 def pv_ip_uv_batch(spark, folder):
-    return pv_ip_uv(access_log(spark, folder))
+    return t.pv_ip_uv(access_log(spark, folder))
 
 
 @query("SELECT l_partkey, sum(l_quantity) AS total FROM lineitem GROUP BY 1")
-def sum_by_part(spark, folder):
-    return sum_by_key(table(spark, folder, "lineitem"), "l_partkey", "l_quantity")
+def sum_by_key(spark, folder):
+    return t.sum_by_key(table(spark, folder, "lineitem"), "l_partkey", "l_quantity")
 
 
 @query(
@@ -369,7 +369,7 @@ FROM events GROUP BY 1"""
 )
 def json_sum_by_key(spark, folder):
     clicks = parse_clicks(click_messages(table(spark, folder, "events"))).where("valid")
-    return sum_by_key(clicks, "uid", "click_count")
+    return t.sum_by_key(clicks, "uid", "click_count")
 
 
 def click_messages(events):
@@ -402,12 +402,12 @@ SELECT 'users' AS name, {_STATS} FROM (
 UNION ALL
 SELECT 'items', {_STATS} FROM (SELECT DISTINCT l_partkey AS v FROM lineitem)"""
 )
-def column_statistics(spark, folder):
+def column_stats(spark, folder):
     codes = dense_ids(purchases(spark, folder), "user_id")
     items = table(spark, folder, "lineitem").select("l_partkey").distinct()
     both = [(codes, "users", "code"), (items, "items", "l_partkey")]
     parts = [
-        column_stats(df.select(F.col(c).cast("double").alias(c)), c).select(
+        t.column_stats(df.select(F.col(c).cast("double").alias(c)), c).select(
             F.lit(name).alias("name"),
             "n",
             F.round("mean", 6).alias("mean"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.skew import ROWS_PER_SLICE, skewed_join
+from tidemill.operators.skew import ROWS_PER_SLICE, heavy_in_table, skewed_join, sliced_join
 
 # Keys are numbered by the hex digits of their md5: that spreads any key set evenly, so buckets
 # (one per leading three digits) have near-equal size and can be numbered apart.
@@ -42,8 +42,8 @@ def dense_ids(df: DataFrame, key: str, code: str = "code") -> DataFrame:
 def encode(
     df: DataFrame, ids: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Add the code of ``key``; rows whose key has none are dropped."""
-    return skewed_join(df, ids, key, rows_per_slice=rows_per_slice)
+    """Add the code of ``key`` to a stored table; rows whose key has none are dropped."""
+    return sliced_join(df, ids, key, heavy_in_table(df, key, rows_per_slice))
 
 
 def decode(

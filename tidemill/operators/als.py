@@ -6,9 +6,11 @@ which come from :mod:`tidemill.functions.ids`.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -16,8 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from tidemill.functions.fields import ranked_titles
-from tidemill.functions.ids import decode, dense_ids, encode
-from tidemill.operators.skew import fits_broadcast, lookup, skewed_join
+from tidemill.functions.ids import dense_ids, encode
+from tidemill.operators.skew import (
+    ROWS_PER_SLICE,
+    fits_broadcast,
+    heavy_in_table,
+    lookup,
+    skewed_join,
+    sliced_join,
+)
 from tidemill.session import shared_root, stage
 
 # Default settings and search grid of the recommender: fixed values.
@@ -55,7 +64,8 @@ def code_ratings(ratings: DataFrame) -> CodedRatings:
     source = stage(source.dropna(), "ratings")
     users = stage(dense_ids(source, "user_id", "user_code"), "user-codes")
     items = stage(dense_ids(source, "item_id", "item_code"), "item-codes")
-    coded = encode(encode(source, users, "user_id"), items, "item_id").select(
+    popular = heavy_in_table(source, "item_id", ROWS_PER_SLICE)
+    coded = sliced_join(encode(source, users, "user_id"), items, "item_id", popular).select(
         "user_id",
         "item_id",
         F.col("user_code").cast("int").alias("user_code"),
@@ -120,26 +130,32 @@ def grid(
     regs=GRID_REGULARIZATIONS,
     alphas=GRID_ALPHAS,
     iterations: int = ITERATIONS,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Error on the known ratings for each setting, explicit and implicit.
 
     The implicit rows compare preferences near 0 and 1 with raw ratings, so they rank settings
-    among themselves only.
+    among themselves only. ``parallelism`` fits run side by side.
     """
+    spark = coded.ratings.sparkSession
     settings = [("explicit", rank, reg, None) for rank, reg in product(ranks, regs)]
     settings += [("implicit", *rest) for rest in product(ranks, regs, alphas)]
-    rows = []
-    for mode, rank, reg, alpha in settings:
-        model = fit(
-            coded, rank, iterations, reg, implicit=mode == "implicit", alpha=alpha or 1.0
-        )
-        rows.append((mode, rank, reg, alpha, mean_squared_error(predict_known(model, coded))))
-    return coded.ratings.sparkSession.createDataFrame(rows, GRID_SCHEMA)
+
+    @inheritable_thread_target(spark)
+    def error(setting):
+        mode, rank, reg, alpha = setting
+        implicit = mode == "implicit"
+        model = fit(coded, rank, iterations, reg, implicit=implicit, alpha=alpha or 1.0)
+        return (*setting, mean_squared_error(predict_known(model, coded)))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return spark.createDataFrame(list(pool.map(error, settings)), GRID_SCHEMA)
 
 
 def _ranked(recommendations: DataFrame, coded: CodedRatings) -> DataFrame:
     """Solver output as rows ``(user_id, rank, item_id, score)``."""
-    rows = decode(recommendations, coded.users, "user_code").select(
+    # One row per user on both sides, so no user code is heavy.
+    rows = recommendations.join(coded.users, "user_code").select(
         "user_id", F.posexplode("recommendations").alias("_at", "_rec")
     )
     scored = rows.select(

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.ranking import top_per_key
-from tidemill.operators.skew import ROWS_PER_SLICE, skewed_join
+from tidemill.operators.skew import ROWS_PER_SLICE, heavy_in_table, sliced_join
+from tidemill.session import stage
 
 
 def user_items(prefs: DataFrame) -> DataFrame:
@@ -23,31 +24,46 @@ def unseen_scores(
 ) -> DataFrame:
     """Sum of preference times similarity for every item the user does not hold.
 
-    ``held`` has one row ``(user_id, item_id, total)`` per user and item. A popular item's users
-    are spread over slices; sums start where the join ran.
+    ``held`` is a stored table with one row ``(user_id, item_id, total)`` per user and item. A
+    popular item's users are spread over slices, and sums start where the join ran. What a user
+    holds goes into the same sums as a mark, which spares a second shuffle to leave it out.
     """
     held = held.select("user_id", "item_id", "total")
     edges = sims.select(F.col("item_id1").alias("item_id"), "item_id2", "similar")
-    scores = (
-        skewed_join(held, edges, "item_id", rows_per_slice=rows_per_slice)
-        .groupBy("user_id", F.col("item_id2").alias("item_id"))
-        .agg(F.sum(F.col("total") * F.col("similar")).alias("pref"))
+    popular = heavy_in_table(held, "item_id", rows_per_slice)
+    terms = sliced_join(held, edges, "item_id", popular).select(
+        "user_id",
+        F.col("item_id2").alias("item_id"),
+        (F.col("total") * F.col("similar")).alias("term"),
+        F.lit(False).alias("is_held"),
+    )
+    marks = held.select("user_id", "item_id", F.lit(0.0).alias("term"), F.lit(True).alias("is_held"))
+    return (
+        terms.unionByName(marks)
+        .groupBy("user_id", "item_id")
+        .agg(F.sum("term").alias("pref"), F.max("is_held").alias("is_held"))
+        .where(~F.col("is_held"))
+        .select("user_id", "item_id", "pref")
     )
-    return without_held(scores, held)
 
 
 def without_held(scores: DataFrame, held: DataFrame) -> DataFrame:
-    """Scores of items the user does not hold."""
+    """Rows of ``scores`` whose item the user does not hold."""
     return scores.join(held.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 
+def _stored(prefs: DataFrame) -> DataFrame:
+    # A user's items side by side let most of a user's terms add up before the shuffle.
+    return stage(user_items(prefs), "held", together="user_id")
+
+
 def recommend_top(sims: DataFrame, prefs: DataFrame, n: int = 30, **sizes) -> DataFrame:
     """The ``n`` best unseen items per user, as ``(user_id, item_id, pref, rank)``."""
-    scores = unseen_scores(sims, user_items(prefs), **sizes)
+    scores = unseen_scores(sims, _stored(prefs), **sizes)
     return top_per_key(scores, "user_id", "pref", "item_id", n)
 
 
 def recommend_all(sims: DataFrame, prefs: DataFrame, **sizes) -> DataFrame:
     """All unseen items with their scores, ordered by user and ascending score."""
-    scores = unseen_scores(sims, user_items(prefs), **sizes)
+    scores = unseen_scores(sims, _stored(prefs), **sizes)
     return scores.orderBy("user_id", "pref", "item_id")

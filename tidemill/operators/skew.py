@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import stage
+
 ROWS_PER_SLICE = 2_000_000
 # Limits on the table of heavy keys, not on data: keys beyond the first thousand hold less than
 # a thousandth of the rows each and join unsliced.
@@ -37,22 +39,31 @@ def with_slices(df: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
     )
 
 
-def skewed_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    how: str = "inner",
-    rows_per_slice: int = ROWS_PER_SLICE,
+def heavy_in_table(df: DataFrame, key: str, rows_per_slice: int) -> DataFrame | None:
+    """:func:`heavy_keys` of a stored table, found now; None when there are none.
+
+    Knowing that no key is heavy leaves the join a plain one. Counting the rows of a table takes
+    its file footers only, and settles the question for tables no larger than one slice.
+    """
+    if df.count() <= rows_per_slice:
+        return None
+    keys = heavy_keys(df, key, rows_per_slice)
+    return None if keys.isEmpty() else stage(keys, "heavy-keys")
+
+
+def sliced_join(
+    big: DataFrame, small: DataFrame, key: str, heavy: DataFrame | None, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join on ``key``, inner or left, where keys may be heavy in ``big``.
+    """Equi-join on ``key``, inner or left, where the ``heavy`` keys own many rows of ``big``.
 
     A heavy key's rows are spread over slices by the hash of the whole row, and the rows of
     ``small`` with that key are repeated once per slice. Rows of ``big`` without a key match
     nothing and are spread by the hash itself.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"skewed_join does inner and left joins, not {how!r}")
-    heavy = heavy_keys(big, key, rows_per_slice)
+        raise ValueError(f"sliced_join does inner and left joins, not {how!r}")
+    if heavy is None:
+        return big.join(small, key, how)
     spread = F.xxhash64(*big.columns)
     sliced = with_slices(big, key, heavy).withColumn(
         "_slice", F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, "_slices"))
@@ -63,6 +74,17 @@ def skewed_join(
     return sliced.drop("_slices").join(copies.drop("_slices"), [key, "_slice"], how).drop("_slice")
 
 
+def skewed_join(
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    how: str = "inner",
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """:func:`sliced_join` with heavy keys counted as part of the same query."""
+    return sliced_join(big, small, key, heavy_keys(big, key, rows_per_slice), how)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> bool:
     """Whether ``df`` is small enough to send to every executor.
 

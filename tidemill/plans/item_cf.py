@@ -17,10 +17,10 @@ def similarities_and_recommendations(
 ) -> tuple[DataFrame, DataFrame]:
     """Item similarities, and each user's ``n`` best unseen items.
 
-    Both work on the same staged cells, so the preferences are read once.
+    Both work on the same stored cells, so the preferences are read once.
     """
-    cells = stage(rating_cells(prefs), "cells")
-    sims = similarity_of_cells(cells, method)
+    cells = stage(rating_cells(prefs), "cells", together="user_id")
+    sims = stage(similarity_of_cells(cells, method), "similarities")
     recs = top_per_key(unseen_scores(sims, cells), "user_id", "pref", "item_id", n)
     return sims, recs
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.sinks.batches import batch_writer, increment_writer
+from tidemill.sinks.text import cached
 from tidemill.sources.streams import parse_clicks
 from tidemill.sources.text import parse_access_log, parse_search
 from tidemill.streaming.run import start
@@ -55,7 +56,16 @@ def hottest_searches(
 def clicks_per_user(
     messages: DataFrame, out: str, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
-    """Add each micro-batch's clicks per user to the totals in ``out``."""
-    clicks = parse_clicks(messages).where("valid")
-    writer = increment_writer(out, "uid", "click_count")
-    return start(clicks, checkpoint, writer, "append", every)
+    """Add each micro-batch's clicks per user to the totals in ``out``.
+
+    Messages that are no valid clicks go to ``out/rejects`` as they came.
+    """
+    add = increment_writer(out, "uid", "click_count")
+    reject = batch_writer(f"{out}/rejects")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with cached(batch) as rows:
+            add(rows.where("valid"), batch_id)
+            reject(rows.where("NOT valid").select("raw"), batch_id)
+
+    return start(parse_clicks(messages), checkpoint, write, "append", every)

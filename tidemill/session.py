@@ -48,16 +48,22 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Unused path below :func:`shared_root`."""
-    return f"{shared_root(spark)}/tidemill/{label}-{uuid.uuid4().hex}"
+    """Unused path below :func:`shared_root`, in a folder per application.
+
+    An application's folder may be deleted when the application is done.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/tidemill/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, together: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Used where one costly result feeds several branches: it is computed once, survives the loss
-    of executors, and gives the later joins true sizes to plan with.
+    of executors, and gives the later joins true sizes to plan with. Rows with equal values of the
+    column ``together`` go to the same file, unless they are too many for one.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    rows = df.hint("rebalance", together) if together else df
+    rows.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
