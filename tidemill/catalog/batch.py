@@ -16,6 +16,7 @@ from tidemill.catalog.tables import (
     table,
     text,
     users,
+    with_customer,
     written_lines,
 )
 from tidemill.functions.fields import clock_text, unpadded_date
@@ -252,10 +253,10 @@ def join_distinct_buyers(spark, folder):
 @query(
     f"""
 SELECT o.order_id, o.product_id, o.price, u.user_id
-FROM {PURCHASES_SQL} o, {USERS_SQL} u WHERE u.user_id = '1' AND u.user_id = o.user_id"""
+FROM {PURCHASES_SQL} o, {USERS_SQL} u WHERE u.user_id = 1 AND u.user_id = o.user_id"""
 )
 def join_point_lookup(spark, folder):
-    return b.purchases_of(purchases(spark, folder), users(spark, folder), "1")
+    return b.purchases_of(purchases(spark, folder), users(spark, folder), 1)
 
 
 _STATS_SQL = f"""
@@ -273,9 +274,9 @@ def join_group_stats(spark, folder):
     return _rounded(b.price_stats(purchases(spark, folder), users(spark, folder)))
 
 
-@query(f"{_STATS_SQL} AND u.user_id = '10' GROUP BY u.user_id")
+@query(f"{_STATS_SQL} AND u.user_id = 10 GROUP BY u.user_id")
 def join_point_stats(spark, folder):
-    return _rounded(b.price_stats(purchases(spark, folder), users(spark, folder), "10"))
+    return _rounded(b.price_stats(purchases(spark, folder), users(spark, folder), 10))
 
 
 @query(
@@ -314,8 +315,7 @@ JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 5000"""
 )
 def user_history(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    ratings = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    ratings = with_customer(spark, folder, lines, lines).select(
         text("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")
     )
     wanted = table(spark, folder, "customer").where(F.col("c_acctbal") > 5000)
@@ -386,7 +386,7 @@ def click_messages(events):
     )
 
 
-@query("SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id FROM orders")
+@query("SELECT DISTINCT o_custkey AS user_id FROM orders")
 def distinct_keys(spark, folder):
     return purchases(spark, folder).select("user_id").distinct()
 
@@ -446,14 +446,14 @@ def fmt_window_end(spark, folder):
 
 @query(
     """
-SELECT user_id, row_number() OVER (ORDER BY md5(user_id), user_id) - 1 AS code
-FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id FROM orders)"""
+SELECT user_id, row_number() OVER (ORDER BY md5(CAST(user_id AS VARCHAR)), user_id) - 1 AS code
+FROM (SELECT DISTINCT o_custkey AS user_id FROM orders)"""
 )
 def dense_user_id(spark, folder):
     return dense_ids(purchases(spark, folder), "user_id")
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id FROM orders")
+@query("SELECT o_orderkey AS order_id, o_custkey AS user_id FROM orders")
 def reverse_user_id(spark, folder):
     rows = purchases(spark, folder).select("order_id", "user_id")
     ids = dense_ids(rows, "user_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.skew import ROWS_PER_SLICE, heavy_in_table, sliced_join
 from tidemill.session import new_folder
 
 
@@ -41,29 +42,29 @@ def people(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "customer").select(text("c_custkey").alias("user_id"))
+    return table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
 
 
 def purchases(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as purchases, dates unpadded."""
+    """Orders as purchases, dates unpadded. Keys stay numbers, so filters on them reach the scan."""
     return table(spark, folder, "orders").select(
-        text("o_orderkey").alias("order_id"),
+        F.col("o_orderkey").alias("order_id"),
         F.date_format("o_orderdate", "yyyy-M-d").alias("order_date"),
         (F.col("o_orderkey") % 10 + 1).cast("int").alias("product_id"),
         F.floor("o_totalprice").cast("int").alias("price"),
-        text("o_custkey").alias("user_id"),
+        F.col("o_custkey").alias("user_id"),
     )
 
 
 PURCHASES_SQL = """(
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+SELECT o_orderkey AS order_id,
        year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate) AS order_date,
        CAST(o_orderkey % 10 + 1 AS INTEGER) AS product_id,
        CAST(floor(o_totalprice) AS INTEGER) AS price,
-       CAST(o_custkey AS VARCHAR) AS user_id
+       o_custkey AS user_id
 FROM orders)"""
 
-USERS_SQL = "(SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer)"
+USERS_SQL = "(SELECT c_custkey AS user_id FROM customer)"
 
 
 def access_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,19 +79,25 @@ def access_log(spark: SparkSession, folder: str) -> DataFrame:
 def line_prefs(spark: SparkSession, folder: str) -> DataFrame:
     """One preference per order line: customer, brand, quantity. Customers repeat brands."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    parts = table(spark, folder, "part").select("p_partkey", "p_brand")
-    return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            text("o_custkey").alias("user_id"),
-            F.col("p_brand").alias("item_id"),
-            F.col("l_quantity").alias("pref"),
-        )
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    popular = heavy_in_table(lines, "l_partkey", ROWS_PER_SLICE)
+    branded = sliced_join(lines, parts, "l_partkey", popular)
+    return with_customer(spark, folder, branded, lines).select(
+        text("o_custkey").alias("user_id"),
+        F.col("p_brand").alias("item_id"),
+        F.col("l_quantity").alias("pref"),
     )
 
 
+def with_customer(
+    spark: SparkSession, folder: str, rows: DataFrame, lines: DataFrame
+) -> DataFrame:
+    """Add ``o_custkey`` to rows made from the ``lines`` table by ``l_orderkey``."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    large = heavy_in_table(lines, "l_orderkey", ROWS_PER_SLICE)
+    return sliced_join(rows, orders, "l_orderkey", large)
+
+
 LINE_PREFS_SQL = """(
 SELECT CAST(o_custkey AS VARCHAR) AS user_id, p_brand AS item_id, l_quantity AS pref
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""

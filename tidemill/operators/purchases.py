@@ -39,7 +39,7 @@ def buyer_count(purchases: DataFrame, users: DataFrame) -> DataFrame:
     return known.join(buyers, "user_id", "left_semi").agg(F.count("*").alias("buyers"))
 
 
-def purchases_of(purchases: DataFrame, users: DataFrame, user_id: str) -> DataFrame:
+def purchases_of(purchases: DataFrame, users: DataFrame, user_id: str | int) -> DataFrame:
     """Purchases of one user who is in the users table.
 
     The single key would put everything in one task of a shuffle, so the key is filtered on both
@@ -61,7 +61,7 @@ def purchases_of(purchases: DataFrame, users: DataFrame, user_id: str) -> DataFr
     ).drop("_copy")
 
 
-def price_stats(purchases: DataFrame, users: DataFrame, user_id: str | None = None) -> DataFrame:
+def price_stats(purchases: DataFrame, users: DataFrame, user_id: str | int | None = None) -> DataFrame:
     """Greatest, least and average price per user found in the users table.
 
     Repeated users do not change any of the three, so prices are reduced per user before the join.
