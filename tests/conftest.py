@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__sql__maxMetadataStringLength="1000",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
