@@ -237,3 +237,13 @@ def test_replay_picks_files_by_pattern(spark, tmp_path, folders):
     stream = replay_stream(spark, str(tmp_path / "tables"), spark.range(1).schema, "b.parquet")
     run_to_end(stream, folders[1], batches.batch_writer(folders[0]))
     assert spark.read.parquet(folders[0]).count() == 3
+
+
+def test_state_partitions_are_the_streams_own(spark, inbox, folders):
+    inbox.deliver(click("u1", 5))
+    stream = running_totals(parse_clicks(messages(spark, inbox)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    writer = batches.batch_writer(folders[0])
+    start(stream, folders[1], writer, "update", partitions=3).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert len(os.listdir(f"{folders[1]}/state/0")) - os.path.isdir(f"{folders[1]}/state/0/_metadata") == 3

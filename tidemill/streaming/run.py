@@ -7,6 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.sinks.batches import BatchWriter
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def start(
     stream: DataFrame,
@@ -14,12 +16,27 @@ def start(
     writer: BatchWriter,
     mode: str = "append",
     every: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a stream into a batch writer.
 
     ``every`` is the trigger interval, such as ``"10 seconds"``; without it the stream takes what
     is there and stops. Starting again with the same checkpoint goes on where it left off.
+
+    ``partitions`` is the number of parts the stream's state is kept in. It is fixed by the first
+    start and each part costs a little in every batch, so a stream may want another number than
+    the session's batch queries: by default one per core.
     """
+    spark = stream.sparkSession
+    session_partitions = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        return _started(stream, checkpoint, writer, mode, every)
+    finally:
+        spark.conf.set(PARTITIONS, session_partitions)  # the running stream keeps its own copy
+
+
+def _started(stream, checkpoint, writer, mode, every) -> StreamingQuery:
     out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     out = out.trigger(processingTime=every) if every else out.trigger(availableNow=True)
     return out.foreachBatch(writer).start()
