@@ -4,10 +4,12 @@ from collections import defaultdict
 from itertools import product
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill import schemas
 from tidemill.operators import ranking, scoring, similarity
 from tidemill.plans import item_cf
+from tidemill.session import stage
 
 # Twelve preferences, all 1: every item has three users.
 SAMPLE = {"1": "12", "2": "13", "3": "34", "4": "24", "5": "123", "6": "4"}
@@ -156,7 +158,7 @@ def test_all_recommendations_are_ordered(sample):
     assert len(keys) == 11 and keys == sorted(keys)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"rows_per_slice": 3}])
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_rows": 5}, {"broadcast_rows": 5, "terms_per_task": 40}])
 def test_scores_match_brute_force(spark, sizes):
     data = random_prefs(seed=5, users=18, items=30)
     sims = brute_force(data, "cooccurrence")
@@ -179,6 +181,39 @@ def test_scores_match_brute_force(spark, sizes):
     }
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Tables as good as too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_terms_are_not_shuffled(spark, no_broadcast):
+    data = random_prefs(seed=5, users=18, items=30, repeats=False)
+    prefs = spark.createDataFrame(data, schemas.PREFS)
+    held = stage(scoring.user_items(prefs), "held")
+    sims = similarity.item_similarity(prefs)
+    small = scoring.unseen_scores(sims, held)
+    # Rows, links and held items are moved to their cells; nothing is moved after that.
+    gridded = scoring.unseen_scores(sims, held, broadcast_rows=5, terms_per_task=40)
+    plan = gridded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("shufflepartitionidpassthrough") == 3
+    assert gridded.rdd.getNumPartitions() > 10
+    exact = {(r.user_id, r.item_id): r.pref for r in small.collect()}
+    assert {(r.user_id, r.item_id): r.pref for r in gridded.collect()} == pytest.approx(exact)
+
+
+def test_grid_follows_the_sizes_of_both_tables(spark):
+    held = spark.range(1000).selectExpr("id AS user_id", "id % 10 AS item_id", "1D AS total")
+    edges = spark.range(10).selectExpr("id AS item_id", "id + 1 AS item_id2", "1D AS similar")
+    assert scoring.grid_size(edges, held, 10) == (100, 1)
+    many = edges.withColumn("item_id2", F.explode(F.sequence(F.lit(1), F.lit(10000))))
+    shards, blocks = scoring.grid_size(many, held, 100_000)
+    assert blocks > shards and shards * blocks >= 100
+    assert scoring.grid_size(edges.limit(0), held, 10)[1] == 1
+
+
 def test_nearly_equal_scores_are_ties(spark):
     df = spark.createDataFrame([("u", "b", 0.1 + 0.2), ("u", "a", 0.3)], "k string, i string, s double")
     assert ranking.top_per_key(df, "k", "s", "i", 1).first().i == "a"

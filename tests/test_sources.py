@@ -5,14 +5,20 @@ from tidemill.operators.traffic import pv_ip_uv
 from tidemill.sources import text as src
 from tidemill.sources.streams import kafka_options, parse_clicks
 
-# Sample log: six views by two addresses and five visitors.
+
+
+def log_line(time, ip, cookie):
+    return "|~|".join([f"2024-03-01T{time}", "-", ip, "-", "-", "-", cookie])
+
+
+# Six views by two addresses and five visitors, on both sides of a full minute.
 LOG = [
-    "2015-11-11T14:59:59|~|xxx|~|202.109.201.181|~|xxx|~|xxx|~|xxx|~|B5C96DCA0003DB546E7",
-    "2015-11-11T14:59:59|~|xxx|~|125.119.144.252|~|xxx|~|xxx|~|xxx|~|B1611D0E00003857808",
-    "2015-11-11T14:59:59|~|xxx|~|125.119.144.252|~|xxx|~|xxx|~|xxx|~|1555BD0100016F2E76F",
-    "2015-11-11T15:00:00|~|xxx|~|125.119.144.252|~|xxx|~|xxx|~|xxx|~|C0EA13670E0B942E70E",
-    "2015-11-11T15:00:00|~|xxx|~|125.119.144.252|~|xxx|~|xxx|~|xxx|~|C0EA13670E0B942E70E",
-    "2015-11-11T15:00:01|~|xxx|~|125.119.144.252|~|xxx|~|xxx|~|xxx|~|4E3512790001039FDB9",
+    log_line("14:59:59", "10.0.0.1", "c1"),
+    log_line("14:59:59", "10.0.0.2", "c2"),
+    log_line("14:59:59", "10.0.0.2", "c3"),
+    log_line("15:00:00", "10.0.0.2", "c4"),
+    log_line("15:00:00", "10.0.0.2", "c4"),
+    log_line("15:00:01", "10.0.0.2", "c5"),
 ]
 
 
@@ -63,7 +69,7 @@ def test_multi_character_separator_keeps_trailing_empty_fields(lines):
 
 def test_access_log_sample(lines):
     log = src.parse_access_log(lines(*LOG))
-    assert {r.day for r in log.collect()} == {"2015-11-11"}
+    assert {r.day for r in log.collect()} == {"2024-03-01"}
     assert tuple(pv_ip_uv(log).first()) == (6, 2, 5)
 
 

@@ -9,12 +9,13 @@ from tidemill import schemas
 from tidemill.catalog.batch import click_messages
 from tidemill.catalog.tables import registrar, table, text
 from tidemill.functions.fields import clock_text
+from tidemill.operators.traffic import pv_ip_uv
 from tidemill.plans.streams import clicks_per_user
 from tidemill.session import new_folder
 from tidemill.sinks.batches import batch_writer, compact_totals, read_batches, read_totals
 from tidemill.sources.streams import parse_clicks, replay_stream
 from tidemill.streaming.run import run_to_end
-from tidemill.streaming.totals import TRAFFIC_SQL, batch_report, running_totals
+from tidemill.streaming.totals import batch_report, running_totals
 from tidemill.streaming.windows import hottest, item_windows, latest, traffic_windows
 
 QUERIES, ORACLES = {}, {}
@@ -58,11 +59,19 @@ FROM events"""
 def stream_pv_ip_uv_batch(spark, folder):
     """Report of each micro-batch; the table is one file, so there is one batch."""
     out, checkpoint = _folders(spark, "batch-report")
-    report = batch_report(TRAFFIC_SQL, "access_log")
-    run_to_end(_log(events_stream(spark, folder)), checkpoint, batch_writer(out, report))
+    run_to_end(_log(events_stream(spark, folder)), checkpoint, batch_writer(out, pv_ip_uv))
     return spark.read.parquet(out).select("pv", "ips", "uv")
 
 
+@query("SELECT event_type AS ip, count(*) AS views FROM events GROUP BY 1")
+def stream_batch_sql(spark, folder):
+    """SQL of one's own over each micro-batch; totals over the batches."""
+    out, checkpoint = _folders(spark, "batch-sql")
+    report = batch_report("SELECT ip, count(*) AS views FROM access_log GROUP BY ip", "access_log")
+    run_to_end(_log(events_stream(spark, folder)), checkpoint, batch_writer(out, report))
+    return spark.read.parquet(out).groupBy("ip").agg(F.sum("views").alias("views"))
+
+
 @query(
     f"""
 SELECT strftime(window_start, {_FORMAT}) AS window_start, strftime(window_end, {_FORMAT}) AS window_end,

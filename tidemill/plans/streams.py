@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemill.functions.fields import clock_text
+from tidemill.operators.traffic import pv_ip_uv
 from tidemill.sinks.batches import batch_writer, increment_writer
 from tidemill.sinks.text import cached
 from tidemill.sources.streams import parse_clicks
 from tidemill.sources.text import parse_access_log, parse_search
 from tidemill.streaming.run import start
-from tidemill.streaming.totals import TRAFFIC_SQL, batch_report
 from tidemill.streaming.windows import hottest, item_windows, traffic_windows
 
 
@@ -29,11 +30,11 @@ def traffic_per_batch(
     messages: DataFrame, out: str, checkpoint: str, every: str | None = "60 seconds"
 ) -> StreamingQuery:
     """Views, ips and visitors of each micro-batch, whatever the log times in it."""
-    sql = TRAFFIC_SQL.replace(
-        "SELECT", "SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss') AS time,"
-    )
-    writer = batch_writer(out, batch_report(sql, "access_log"))
-    return start(_log_rows(messages), checkpoint, writer, "append", every)
+
+    def report(batch: DataFrame) -> DataFrame:
+        return pv_ip_uv(batch).select(clock_text(F.current_timestamp()).alias("time"), "*")
+
+    return start(_log_rows(messages), checkpoint, batch_writer(out, report), "append", every)
 
 
 def traffic_per_window(

@@ -7,13 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One batch's report, as plain SQL over the batch.
-TRAFFIC_SQL = """
-SELECT count(1) AS pv, count(DISTINCT ip) AS ips, count(DISTINCT cookie_id) AS uv
-FROM access_log
-"""
-
-
 def running_totals(clicks: DataFrame) -> DataFrame:
     """Clicks per user since the start, kept in the stream's state, for update output."""
     return clicks.where("valid").groupBy("uid").agg(F.sum("click_count").alias("total"))
