@@ -74,3 +74,4 @@ def test_lookup_is_the_same_with_and_without_broadcast(big, small, rows):
     expected = rows(big.join(small, "key", "left"))
     assert rows(skew.lookup(big, small, "key")) == expected
     assert rows(skew.lookup(big, small, "key", max_rows=3)) == expected
+    assert rows(skew.lookup(big, small, "key", costly=True, max_rows=3)) == expected

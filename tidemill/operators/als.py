@@ -164,7 +164,7 @@ def _ranked(recommendations: DataFrame, coded: CodedRatings) -> DataFrame:
         F.col("_rec.item_code").alias("item_code"),
         F.col("_rec.rating").cast("double").alias("score"),
     )
-    return lookup(scored, coded.items, "item_code", "inner").drop("item_code")
+    return lookup(scored, coded.items, "item_code", "inner", costly=True).drop("item_code")
 
 
 def recommend_all_users(model: ALSModel, coded: CodedRatings, n: int = TOP) -> DataFrame:
@@ -205,14 +205,15 @@ def compare_with_history(
     """Titles a user has rated (``seen``) next to the recommended ones, for the wanted users."""
     seen = history_of(coded.ratings, wanted).select("user_id", F.lit("seen").alias("kind"), "item_id")
     fresh = recommended.select("user_id", F.lit("recommended").alias("kind"), "item_id")
-    return lookup(seen.unionByName(fresh), titles, "item_id", "inner").select(
+    return lookup(seen.unionByName(fresh), titles, "item_id", "inner", costly=True).select(
         "user_id", "kind", "item_id", "title"
     )
 
 
 def as_text_rows(recommended: DataFrame, titles: DataFrame) -> DataFrame:
     """One row per user with its recommendations as ``id:title,id:title``."""
-    named = lookup(recommended.select("user_id", "rank", "item_id"), titles, "item_id", "left")
+    wanted = recommended.select("user_id", "rank", "item_id")
+    named = lookup(wanted, titles, "item_id", "left", costly=True)
     return named.groupBy("user_id").agg(
         ranked_titles("rank", "item_id", "title").alias("recommendations")
     )

@@ -98,12 +98,15 @@ def fits_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 <
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, how: str = "left", **limits) -> DataFrame:
+def lookup(
+    df: DataFrame, dim: DataFrame, key: str, how: str = "left", costly: bool = False, **limits
+) -> DataFrame:
     """Add the columns of a dimension by key.
 
     The dimension is broadcast when its measured size allows, else joined by shuffle with heavy
-    keys sliced.
+    keys sliced. That reads ``df`` twice; one that is ``costly`` to compute is stored first.
     """
     if fits_broadcast(dim, **limits):
         return df.join(F.broadcast(dim), key, how)
-    return skewed_join(df, dim, key, how)
+    rows = stage(df, "lookup") if costly else df
+    return skewed_join(rows, dim, key, how)
