@@ -17,7 +17,7 @@ from tidemill.session import stage
 
 BANDS, BAND_ROWS, BITS = 40, 6, 4
 HASHES = BANDS * BAND_ROWS
-BLOCK_NODES = 512  # nodes of one bucket compared against as many others in one task
+BLOCK_NODES = 256  # nodes of one bucket compared against as many others in one task
 PAIRS_PER_LEADER = 1_000
 
 _SEEDS = np.random.default_rng(4_004)
@@ -112,13 +112,17 @@ def _sets(size: int):
     return run
 
 
+def _shared(one: np.ndarray, two: np.ndarray) -> int:
+    return len(np.intersect1d(one, two, assume_unique=True))
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two, keep = batch.column("set_a"), batch.column("set_b"), []
             for a, b in zip(one, two):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
+                both = _shared(a, b)
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -141,14 +145,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(least: float):
-    """Pairs of one bucket that lie in different components and may reach the threshold.
+    """Of one bucket, the nodes with partners in other components that may reach the threshold.
 
-    A pair that shares several buckets is given by the one of its first common band only.
+    Gives ``node, root, partners``, the partners' names joined. A pair that shares several buckets is given by
+    the one of its first common band only.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-        found: list[tuple[bytes, bytes]] = []
+        partners: dict[bytes, list[bytes]] = {}
         if len(left) and len(right):
             packed = np.stack([np.frombuffer(x, np.uint8) for x in right["packed"]])
             bands = np.stack([np.asarray(x, np.int64) for x in right["bands"]])
@@ -162,15 +167,45 @@ def _across(least: float):
                 at = np.flatnonzero(near)
                 if len(at):
                     common = bands[at] == np.asarray(keys, np.int64)
-                    first = bands[at, common.argmax(axis=1)] == key
-                    found.extend((node, names[i]) for i in at[first])
-        return pd.DataFrame(found, columns=["a", "b"])
+                    first = at[bands[at, common.argmax(axis=1)] == key]
+                    for other in names[first]:
+                        partners.setdefault(node, []).append(other)
+                        partners.setdefault(other, [])
+        root_of = dict(zip(rows["node"], rows["root"]))
+        group = [rows[c].iloc[0] for c in ("key", "i", "j")]
+        found = [(*group, node, root_of[node], b"".join(others)) for node, others in partners.items()]
+        return pd.DataFrame(found, columns=["key", "i", "j", "node", "root", "partners"])
+
+    return run
+
+
+def _confirm_across(percent: int):
+    """Links between components, from one bucket's nodes with their full sets and partners."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        sets = {n: np.frombuffer(x, np.uint64) for n, x in zip(rows["node"], rows["shingles"])}
+        root_of = dict(zip(rows["node"], rows["root"]))
+        linked: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+        for node, names in zip(rows["node"], rows["partners"]):
+            for at in range(0, len(names), 16):
+                other = names[at : at + 16]
+                ends = (root_of[node], root_of[other])
+                if ends not in linked:
+                    both = _shared(sets[node], sets[other])
+                    if 100 * both >= percent * (len(sets[node]) + len(sets[other]) - both):
+                        linked[ends] = (node, other)
+        return pd.DataFrame(list(linked.values()), columns=["a", "b"])
 
     return run
 
 
-def _cross_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """All candidate pairs between different components, compared block by block in their buckets."""
+def _cross_links(
+    members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int
+) -> DataFrame:
+    """Links between different components: all candidate pairs, block by block in their buckets.
+
+    Pairs stay inside the tasks that compare them; what is shuffled is one row per node and block.
+    """
     placed = members.join(roots, "node")
     mixed = placed.groupBy("key").agg(
         F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
@@ -194,7 +229,10 @@ def _cross_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, least:
         "key", "node", "root", "packed", "bands", F.col("m.i").alias("i"), F.col("m.j").alias("j"),
         (F.col("m.i") == F.col("m.j")).alias("same"), F.explode(sides).alias("side"),
     )
-    return rows.groupBy("key", "i", "j").applyInPandas(_across(least), "a binary, b binary")
+    kinds = "key bigint, i int, j int, node binary, root binary, partners binary"
+    near = rows.groupBy("key", "i", "j").applyInPandas(_across(doubt(percent / 100)), kinds)
+    whole = stage(near, "cross").join(sets, "node")
+    return whole.groupBy("key", "i", "j").applyInPandas(_confirm_across(percent), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -250,9 +288,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     roots = stage(
         ids.join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots"
     )
-    rest = stage(_cross_pairs(members, nodes, roots, doubt(percent / 100)), "cross")
-    more = confirmed(rest, sets, percent)
-    final = components(links.union(more))
+    final = components(links.union(_cross_links(members, nodes, sets, roots, percent)))
 
     names = sketches.join(final, "node", "left").withColumn("group", F.coalesce("root", "node"))
     least = names.where("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("least"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import minhash
+from tidemill.llm import debruijn, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), words=2, percent=80)
+
+
+@query
+def op10_debruijn(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn.without_repeats(_table(spark, folder, "documents"), size=35)
