@@ -249,11 +249,14 @@ def _digest(batch, kept, total, removed):
 
 
 def _texts(batch, kept, total, removed):
-    return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id").cast(pa.int64()), pa.array([x.decode() for x in kept], pa.large_string()).cast(pa.string()),
-         pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
-        ["doc_id", "kept_text", "n_words", "n_removed"],
-    )
+    own = batch.column("text").to_pylist()
+    texts = [k.decode() if gone else text for k, gone, text in zip(kept, removed, own)]
+    columns = [
+        pa.array(texts, batch.schema.field("text").type) if name == "text" else batch.column(name)
+        for name in batch.schema.names
+        if name != "spans"
+    ]
+    return pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "spans"])
 
 
 def _with_spans(docs: DataFrame, size: int, limit: int) -> DataFrame:
@@ -263,20 +266,27 @@ def _with_spans(docs: DataFrame, size: int, limit: int) -> DataFrame:
     return join_by_document(keyed, stage(spans, "spans"), "left", limit)
 
 
-def without_repeats(docs: DataFrame, size: int = WINDOW, digest: bool = True, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Texts without the words of spans that stand more than once in the corpus.
+def without_repeats(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """What is left of each text when the spans that stand more than once in the corpus are taken out.
 
     A word goes if it lies in a window of ``size`` consecutive words of its text whose sequence also starts
     anywhere else, in any text or the same. Windows are judged on the input, so all copies lose
-    the span, the first one too. Returns ``doc_id, n_words, n_removed`` and ``kept_sha256``, or the
-    ``kept_text`` itself (kept words joined by one space) if not ``digest``.
+    the span, the first one too. Returns ``doc_id, n_words, n_removed, kept_sha256``, the hash of the kept
+    words joined by one space.
 
     Null, empty and short texts have no window and keep all words; an empty table gives an empty result.
     Repeated rows count as separate texts, so both lose all that fills a window. A null id stays null.
     """
-    rows = _with_spans(docs, size, limit).select("doc_id", "text", "spans")
-    if digest:
-        return rows.mapInArrow(
-            _kept_text(_digest), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-        )
-    return rows.mapInArrow(_kept_text(_texts), "doc_id bigint, kept_text string, n_words bigint, n_removed bigint")
+    rows = _with_spans(docs.select("doc_id", "text"), size, limit).select("doc_id", "text", "spans")
+    return rows.mapInArrow(
+        _kept_text(_digest), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+    )
+
+
+def cleaned(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``docs`` with the repeated spans taken out of ``text``; columns of other names are as they were.
+
+    A text that loses words is its kept words joined by one space; all others are unchanged.
+    """
+    rows = _with_spans(docs, size, limit).select(*docs.columns, "spans")
+    return rows.mapInArrow(_kept_text(_texts), docs.schema)

@@ -21,7 +21,7 @@ _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(SEPARATORS)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE_VALUES = np.random.default_rng(20_261).integers(1, 2**63, 256, dtype=np.uint64)
+BYTE_VALUES = np.random.default_rng(20_261).integers(1, 2**63, 256, dtype=np.uint64)
 BYTE_BASE, WORD_BASE = 0x9E37_79B9_7F4A_7C15, 0xD6E8_FEB8_6659_FD93
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -103,7 +103,7 @@ class Words:
         self.first = np.searchsorted(self.start, self.bounds)
 
     def hashes(self) -> np.ndarray:
-        sums = prefix(_BYTE_VALUES[self.data], BYTE_BASE)
+        sums = prefix(BYTE_VALUES[self.data], BYTE_BASE)
         return mix(span_hash(sums, self.start, self.end, BYTE_BASE))
 
     def counts(self) -> np.ndarray:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import kernels
-from tidemill.llm.graph import components, join_ids
+from tidemill.llm.graph import BROADCAST_IDS, components, join_ids
 from tidemill.session import stage
 
 BANDS, BAND_ROWS, BITS = 40, 6, 4
@@ -88,9 +88,9 @@ def _sketch(size: int):
                     packed.append(b"")
             bands = kernels.list_column(np.concatenate(keys), np.array([len(k) for k in keys]), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), kernels.binary_column(nodes),
+                [batch.column("doc_id").cast(pa.int64()), batch.column("_t"), kernels.binary_column(nodes),
                  pa.array(counts, pa.int64()), bands, kernels.binary_column(packed)],
-                ["doc_id", "node", "n_shingles", "bands", "packed"],
+                ["doc_id", "_t", "node", "n_shingles", "bands", "packed"],
             )
 
     return run
@@ -252,8 +252,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     id never becomes the smallest unless the group has no other. Null, empty and wordless texts
     have an empty set and link with nothing: their component is their own id. Repeated rows are linked like any copies.
     """
-    texts = docs.select("doc_id", "text")
-    kinds = "doc_id bigint, node binary, n_shingles bigint, bands array<bigint>, packed binary"
+    return _grouped(docs, words, percent).drop("_t")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``docs`` without the rows that :func:`near_duplicates` does not keep, all columns as they were.
+
+    Of rows with the same id and text one stays. Rows without an id whose group has no id at all stay.
+    """
+    own = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), F.xxhash64("text")]
+    grouped = _grouped(docs, words, percent).withColumn("_d", F.coalesce("doc_id", F.lit(-(2**63))))
+    state = grouped.groupBy("_d", "_t").agg(F.max("kept").alias("_kept"), F.count("*").alias("_n"))
+    state = stage(state.where(~F.col("_kept") | ((F.col("_n") > 1) & (F.col("_d") > -(2**63)))), "state")
+    few = state.count() <= limit
+    rows = docs.withColumns({"_d": own[0], "_t": own[1]})
+    rows = rows.join(F.broadcast(state) if few else state.hint("shuffle_merge"), ["_d", "_t"], "left")
+    single = rows.where("_n is null")
+    several = rows.where("_kept").dropDuplicates(["_d", "_t"])
+    return single.union(several).select(*docs.columns)
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_t"))
+    kinds = "doc_id bigint, _t bigint, node binary, n_shingles bigint, bands array<bigint>, packed binary"
     sketches = stage(texts.mapInArrow(_sketch(words), kinds), "sketches")
     filled = sketches.where("n_shingles > 0")
 
@@ -294,6 +315,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     least = names.where("n_shingles > 0").groupBy("group").agg(F.min("doc_id").alias("least"))
     rows = names.join(least, "group", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return rows.select("doc_id", "_t", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import debruijn, minhash
+from tidemill.llm import debruijn, minhash, mixing, ordinal, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,11 +21,30 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), words=2, percent=80)
 
 
+@query
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op9_ordinal(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = ordinal.train(docs, ordinal.graded(_table(spark, folder, "labels")))
+    graded = ordinal.grade_documents(docs, model)
+    return graded.select("doc_id", "expected_grade", "p_1", "p_2", "selected")
+
+
 @query
 def op10_debruijn(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.without_repeats(_table(spark, folder, "documents"), size=35)
