@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import debruijn, minhash, mixing, ordinal, packing
+from tidemill.llm import crossent, debruijn, digest, extract, forest, minhash, mixing, ordinal, packing, rollup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,17 +26,44 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+@query
+def op2_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return digest.fingerprint_documents(_table(spark, folder, "documents"))
+
+
+@query
+def op3_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.near_vectors(_table(spark, folder, "embeddings"), least=0.98)
+
+
 @query
 def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), words=2, percent=80)
 
 
+@query
+def op5_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return rollup.document_totals(_table(spark, folder, "documents"))
+
+
+@query
+def op6_crossent(spark: SparkSession, folder: str) -> DataFrame:
+    """Good, harmless documents as the target, all documents as the background."""
+    labels = _table(spark, folder, "labels")
+    return crossent.score(_table(spark, folder, "documents"), labels.where("quality > 0 and toxic = 0"))
+
+
 @query
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(_table(spark, folder, "pages"))
+
+
 @query
 def op9_ordinal(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
