@@ -26,10 +26,11 @@ def test_heavy_keys_are_found_with_their_slices(big, rows):
     assert skew.heavy_keys(big, "key", 60).isEmpty()
 
 
-def test_number_of_heavy_keys_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 5)
-    many = spark.range(200).select((F.col("id") % 20).alias("key"))
-    assert skew.heavy_keys(many, "key", 2).count() == 5
+def test_all_heavy_keys_are_found(spark):
+    many = spark.range(12_000).select((F.col("id") % 1_500).alias("key"))
+    found = skew.heavy_keys(many, "key", 2)
+    assert found.count() == 1_500
+    assert found.agg(F.min("_slices")).first()[0] == 4
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -40,9 +41,8 @@ def test_sliced_join_equals_plain_join(big, small, rows, how, rows_per_slice):
     assert rows(joined) == rows(big.join(small, "key", how))
 
 
-def test_unhandled_heavy_keys_still_join(big, small, rows, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 1)
-    monkeypatch.setattr(skew, "MAX_SLICES", 2)
+def test_heavy_keys_that_are_not_broadcast_join_alike(big, small, rows, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 0)
     assert rows(skew.skewed_join(big, small, "key", rows_per_slice=1)) == rows(
         big.join(small, "key")
     )

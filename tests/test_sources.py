@@ -43,6 +43,15 @@ def test_malformed_delimited_file_fails(spark, tmp_path):
         src.read_delimited(spark, str(tmp_path / "people"), schemas.PEOPLE).collect()
 
 
+def test_malformed_delimited_file_fails_whatever_is_read(spark, tmp_path):
+    (tmp_path / "people").write_text("1 M 180\n2 F tall\n")
+    people = src.read_delimited(spark, str(tmp_path / "people"), schemas.PEOPLE)
+    with pytest.raises(Exception, match="MALFORMED"):
+        people.groupBy("gender").count().collect()
+    with pytest.raises(Exception, match="MALFORMED"):
+        people.count()
+
+
 def test_fields_are_trimmed_and_cast(lines, rows):
     parsed = src.parse_fields(lines(" 7 , 1, 2.5 "), schemas.PREFS, ",", trim=True)
     assert rows(parsed) == [("7", "1", 2.5)]
@@ -126,3 +135,14 @@ def test_kafka_options():
     assert options["maxOffsetsPerTrigger"] == "10"
     assert options["kafka.group.id"] == "clicks"
     assert kafka_options(["a:1"], ["log"])["startingOffsets"] == "earliest"
+
+
+def test_strange_numbers_make_a_click_invalid(lines):
+    from tidemill.sources.streams import parse_clicks
+
+    message = '{"uid":"u","event_time":"%s","os_type":"x","click_count":%s}'
+    cases = [("1", "1e300"), ("1", '"NaN"'), ("9223372036854775807", "5.7"), ("1", "9007199254740993")]
+    found = parse_clicks(lines(*[message % case for case in cases], column="value")).collect()
+    assert [r.valid for r in found] == [False, False, True, True]
+    assert [r.click_count for r in found] == [None, None, 5, 9007199254740993]
+    assert found[2].event_time is None

@@ -247,3 +247,13 @@ def test_state_partitions_are_the_streams_own(spark, inbox, folders):
     start(stream, folders[1], writer, "update", partitions=3).awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert len(os.listdir(f"{folders[1]}/state/0")) - os.path.isdir(f"{folders[1]}/state/0/_metadata") == 3
+
+
+def test_events_may_be_a_folder_of_files(spark, small, tmp_path):
+    from tidemill.catalog.streams import QUERIES
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_batch_sql", "stream_running_totals"):
+        one = sorted(map(tuple, QUERIES[name](spark, small).collect()))
+        assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) == one

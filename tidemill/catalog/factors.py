@@ -68,8 +68,13 @@ FROM (VALUES (10), (50)) a(r), (VALUES (1.0::DOUBLE), (0.01), (0.0001)) b(l),
      (VALUES (1.0::DOUBLE), (40.0)) c(x)"""
 )
 def als_grid(spark, folder):
-    errors = als.grid(als.code_ratings(ratings(spark, folder)))
-    return errors.select("mode", "rank", "reg", "alpha", (F.col("mse") >= 0).alias("has_error"))
+    """An explicit fit must err less than the mean rating does; an implicit error only has to be a number."""
+    coded = als.code_ratings(ratings(spark, folder))
+    spread = coded.ratings.agg(F.var_pop("rating")).first()[0]
+    error = F.col("mse")
+    better = F.when(F.col("mode") == "explicit", error < spread).otherwise(error >= 0)
+    has_error = ~F.isnan(error) & better
+    return als.grid(coded).select("mode", "rank", "reg", "alpha", has_error.alias("has_error"))
 
 
 def _wanted(spark, folder):

@@ -49,7 +49,7 @@ unseen AS (
   SELECT s.* FROM scores s LEFT JOIN held h ON h.user_id = s.user_id AND h.item_id = s.item_id
   WHERE h.user_id IS NULL),
 ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(pref, 9) DESC, item_id)
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY CAST(printf('%.11e', pref) AS DOUBLE) DESC, item_id)
                  AS INTEGER) AS rank
   FROM unseen)"""
 

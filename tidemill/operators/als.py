@@ -34,6 +34,7 @@ RANK = 50
 ITERATIONS = 10
 REGULARIZATION = 0.0001
 TOP = 5
+BLOCKS = 16
 GRID_RANKS = (10, 50)
 GRID_REGULARIZATIONS = (1.0, 0.01, 0.0001)
 GRID_ALPHAS = (1.0, 40.0)
@@ -83,17 +84,16 @@ def fit(
     implicit: bool = False,
     alpha: float = 1.0,
     seed: int = 7,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Fit a factor model, explicit or implicit.
 
-    ``blocks`` is the number of user and of item blocks, by default one per core up to 512 (the
-    solver exchanges a message per pair of blocks). The solver cuts its lineage every few
+    ``blocks`` is the number of user and of item blocks. It seeds the factors, so the default is fixed and
+    not a property of the cluster; large inputs want more. The solver cuts its lineage every few
     iterations through the context's checkpoint folder.
     """
     spark = coded.ratings.sparkSession
     shared_root(spark)
-    blocks = blocks or min(spark.sparkContext.defaultParallelism, 512)
     solver = ALS(
         userCol="user_code",
         itemCol="item_code",

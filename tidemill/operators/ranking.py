@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sums of the same terms in another order differ in their last bits. Scores are compared at this
-# many decimals so that equal scores stay ties, and ties go by item.
-SCORE_DIGITS = 9
+# many significant digits, whatever their size, so that equal scores stay ties; ties go by item.
+SCORE_DIGITS = 12
 
 
 def top_per_key(
@@ -18,6 +18,8 @@ def top_per_key(
     Spark cuts each key to ``n`` rows in every task before the shuffle, so a hot key arrives as
     ``n`` rows per task.
     """
-    by = F.round(score, digits) if digits is not None else F.col(score)
+    by = F.col(score)
+    if digits is not None:
+        by = F.format_string(f"%.{digits - 1}e", by).try_cast("double")
     order = Window.partitionBy(key).orderBy(by.desc(), tie)
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)

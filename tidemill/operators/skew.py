@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from tidemill.session import stage
 
 ROWS_PER_SLICE = 2_000_000
-# Limits on the table of heavy keys, not on data: keys beyond the first thousand hold less than
-# a thousandth of the rows each and join unsliced.
-MAX_HEAVY_KEYS = 1_000
-MAX_SLICES = 4_096
+BROADCAST_KEYS = 1_000_000
 
 
 def heavy_keys(df: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
     """``(_heavy_key, _slices)`` of the keys with more than ``rows_per_slice`` rows.
 
-    At most :data:`MAX_HEAVY_KEYS` rows, so it can be broadcast whatever the size of ``df``. The
-    count combines on the map side, so a hot key costs one counter per task.
+    All of them: there are at most ``rows / rows_per_slice``. The count combines on the map side, so a hot
+    key costs one counter per task.
     """
     wanted = F.ceil(F.col("_rows") / F.lit(rows_per_slice))
     return (
@@ -26,15 +23,19 @@ def heavy_keys(df: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
         .groupBy(F.col(key).alias("_heavy_key"))
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > rows_per_slice)
-        .orderBy(F.desc("_rows"), "_heavy_key")
-        .limit(MAX_HEAVY_KEYS)
-        .select("_heavy_key", F.least(wanted, F.lit(MAX_SLICES)).cast("bigint").alias("_slices"))
+        .select("_heavy_key", wanted.cast("bigint").alias("_slices"))
     )
 
 
 def with_slices(df: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-    """Add ``_slices``, the number of parts the row's key is cut into (1 for most)."""
-    return df.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left").select(
+    """Add ``_slices``, the number of parts the row's key is cut into (1 for most).
+
+    ``heavy`` is broadcast up to :data:`BROADCAST_KEYS` counted rows; a longer list is joined by
+    shuffle, where adaptive execution splits the partitions of hot keys.
+    """
+    few = heavy.count() <= BROADCAST_KEYS
+    keys = F.broadcast(heavy) if few else heavy.hint("shuffle_merge")
+    return df.join(keys, F.col(key) == F.col("_heavy_key"), "left").select(
         *df.columns, F.coalesce("_slices", F.lit(1).cast("bigint")).alias("_slices")
     )
 
@@ -81,8 +82,8 @@ def skewed_join(
     how: str = "inner",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """:func:`sliced_join` with heavy keys counted as part of the same query."""
-    return sliced_join(big, small, key, heavy_keys(big, key, rows_per_slice), how)
+    """:func:`sliced_join` with the heavy keys counted and stored first."""
+    return sliced_join(big, small, key, stage(heavy_keys(big, key, rows_per_slice), "heavy-keys"), how)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> bool:

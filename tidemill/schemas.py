@@ -45,7 +45,7 @@ SEARCH = _struct(name=StringType, item=StringType)
 
 # click_count is read as a double because producers send both 5 and 5.0.
 CLICK_JSON = _struct(
-    uid=StringType, event_time=StringType, os_type=StringType, click_count=DoubleType
+    uid=StringType, event_time=StringType, os_type=StringType, click_count=StringType
 )
 
 PREFS = _struct(user_id=StringType, item_id=StringType, pref=DoubleType)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +33,15 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own: on a cluster a machine-local
-    path would lose the data with the machine.
+    A local session without that setting uses a folder of its warehouse; a cluster session must name
+    one, since a machine's own folder is lost with the machine.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tidemill-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staging"
         context.setCheckpointDir(root)
     return root.rstrip("/")
 

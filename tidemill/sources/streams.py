@@ -10,6 +10,8 @@ from pyspark.sql.types import StructType
 
 from tidemill import schemas
 
+_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
+
 
 def kafka_options(
     servers: list[str],
@@ -37,9 +39,10 @@ def kafka_options(
 
 
 def kafka_stream(spark: SparkSession, servers: list[str], topics: list[str], **options) -> DataFrame:
-    """Topic and text of Kafka messages. Needs the Kafka connector on the class path."""
+    """Topic, text, time and place of Kafka messages. Needs the Kafka connector on the class path."""
     reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics, **options))
-    return reader.load().select("topic", F.col("value").cast("string").alias("value"))
+    value = F.col("value").cast("string").alias("value")
+    return reader.load().select("topic", value, "timestamp", "partition", "offset")
 
 
 def socket_stream(spark: SparkSession, host: str, port: int = 9999) -> DataFrame:
@@ -68,7 +71,7 @@ def replay_stream(
     pattern: str = "*.parquet",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files of ``folder`` that match ``pattern``, as a stream."""
+    """Parquet files of ``folder`` (or one file) that match ``pattern``, as a stream."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -78,15 +81,19 @@ def replay_stream(
 def parse_clicks(messages: DataFrame, column: str = "value") -> DataFrame:
     """Click events of JSON messages, with ``valid`` telling whether uid and count are there.
 
-    Broken JSON, a missing key or a count that is no number makes a row invalid, not the batch.
+    Broken JSON, a missing key, a count that is no number or fits no bigint makes a row invalid, not the
+    batch. Counts are read as text, so large ones keep all digits; fractions are cut off. A time outside the years 1
+    to 9999 reads as NULL.
     """
     # Taking the fields with inline reads each message once, however often they are used below.
+    count = F.col("click_count").try_cast("decimal(38,6)").try_cast("bigint")
+    millis = F.col("event_time").try_cast("bigint")
     click = F.inline(F.array(F.from_json(column, schemas.CLICK_JSON)))
     return messages.select(F.col(column).alias("raw"), click).select(
         "raw",
         "uid",
-        F.timestamp_millis(F.col("event_time").try_cast("bigint")).alias("event_time"),
+        F.timestamp_millis(F.when(millis.between(*_MILLIS), millis)).alias("event_time"),
         "os_type",
-        F.col("click_count").cast("bigint").alias("click_count"),
-        (F.col("uid").isNotNull() & F.col("click_count").isNotNull()).alias("valid"),
+        count.alias("click_count"),
+        (F.col("uid").isNotNull() & count.isNotNull()).alias("valid"),
     )
