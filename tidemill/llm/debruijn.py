@@ -15,15 +15,15 @@ from tidemill.session import stage
 
 WINDOW = 35  # words of an edge of the graph
 ANCHOR = 16  # words of the anchors that stretches of edges are gathered by
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_ENTRIES = 200_000, 3_000_000
 _AT_BITS = 24
-_DOC = ["_d", "_t"]
+_DOC = ["__d", "__t"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with a key that only rows with equal id and text share; such rows have equal results."""
     own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
-    return docs.withColumn("_d", own).withColumn("_t", F.xxhash64("text"))
+    return docs.withColumn("__d", own).withColumn("__t", F.xxhash64("text"))
 
 
 class _Edges:
@@ -109,15 +109,17 @@ def _edge_hashes(size: int):
 def join_by_document(docs: DataFrame, info: DataFrame, how: str, limit: int) -> DataFrame:
     """Add stored per-document ``info`` to the texts.
 
-    Info of at most ``limit`` documents is broadcast, so that texts stay where they are read; beyond
+    Info of at most ``limit`` documents with :data:`BROADCAST_ENTRIES` entries in all is broadcast, so that texts stay where they are read; beyond
     that, both sides are shuffled by document.
     """
-    few = info.count() <= limit
+    entries = F.sum(F.size(next(c for c in info.columns if c not in _DOC)))
+    rows, entries = info.agg(F.count("*"), F.coalesce(entries, F.lit(0))).first()
+    few = rows <= limit and entries <= BROADCAST_ENTRIES
     return docs.join(F.broadcast(info) if few else info.hint("shuffle_merge"), _DOC, how)
 
 
 def repeated_paths(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Repeated spans ``_d, _t, start, words, path`` of keyed documents, compacted to paths.
+    """Repeated spans ``__d, __t, start, words, path`` of keyed documents, compacted to paths.
 
     1. Every text is cut into stretches of edges that share an anchor. Stretches whose anchor stands once
        in the corpus hold no repeated edge.
@@ -131,7 +133,7 @@ def repeated_paths(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_R
     ``path`` is the content key of a path's first piece; equal whole paths have equal keys and lengths. All keys are hashes of
     64 bits looked up under an anchor's own 64 bits.
     """
-    kinds = "anchor bigint, content bigint, _d bigint, _t bigint, start bigint, edges smallint"
+    kinds = "anchor bigint, content bigint, __d bigint, __t bigint, start bigint, edges smallint"
     texts = docs.select(*_DOC, "text")
     rows = stage(texts.mapInArrow(_stretches(size), kinds), "stretches")
     often = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -224,7 +226,7 @@ def _kept_text(rows_out):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernels.blocks(batches):
             words = kernels.Words(batch.column("text"))
-            data, spans = words.data.tobytes(), batch.column("spans").to_pylist()
+            data, spans = words.data.tobytes(), batch.column("__spans").to_pylist()
             kept, total, removed = [], [], []
             for doc, own in enumerate(spans):
                 first, count = words.first[doc], words.first[doc + 1] - words.first[doc]
@@ -254,16 +256,16 @@ def _texts(batch, kept, total, removed):
     columns = [
         pa.array(texts, batch.schema.field("text").type) if name == "text" else batch.column(name)
         for name in batch.schema.names
-        if name != "spans"
+        if name != "__spans"
     ]
-    return pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "spans"])
+    return pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "__spans"])
 
 
 def _with_spans(docs: DataFrame, size: int, limit: int) -> DataFrame:
     keyed = _keyed(docs)
     paths = repeated_paths(keyed, size, limit)
-    spans = paths.groupBy(*_DOC).agg(F.collect_list(F.struct("start", "words")).alias("spans"))
-    return join_by_document(keyed, stage(spans, "spans"), "left", limit)
+    spans = paths.groupBy(*_DOC).agg(F.collect_list(F.struct("start", "words")).alias("__spans"))
+    return join_by_document(keyed, stage(spans, "__spans"), "left", limit)
 
 
 def without_repeats(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -277,7 +279,7 @@ def without_repeats(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_
     Null, empty and short texts have no window and keep all words; an empty table gives an empty result.
     Repeated rows count as separate texts, so both lose all that fills a window. A null id stays null.
     """
-    rows = _with_spans(docs.select("doc_id", "text"), size, limit).select("doc_id", "text", "spans")
+    rows = _with_spans(docs.select("doc_id", "text"), size, limit).select("doc_id", "text", "__spans")
     return rows.mapInArrow(
         _kept_text(_digest), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )
@@ -288,5 +290,5 @@ def cleaned(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) ->
 
     A text that loses words is its kept words joined by one space; all others are unchanged.
     """
-    rows = _with_spans(docs, size, limit).select(*docs.columns, "spans")
+    rows = _with_spans(docs, size, limit).select(*docs.columns, "__spans")
     return rows.mapInArrow(_kept_text(_texts), docs.schema)

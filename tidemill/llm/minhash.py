@@ -261,14 +261,14 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, limit: int =
     Of rows with the same id and text one stays. Rows without an id whose group has no id at all stay.
     """
     own = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), F.xxhash64("text")]
-    grouped = _grouped(docs, words, percent).withColumn("_d", F.coalesce("doc_id", F.lit(-(2**63))))
-    state = grouped.groupBy("_d", "_t").agg(F.max("kept").alias("_kept"), F.count("*").alias("_n"))
-    state = stage(state.where(~F.col("_kept") | ((F.col("_n") > 1) & (F.col("_d") > -(2**63)))), "state")
+    grouped = _grouped(docs, words, percent).withColumn("__d", F.coalesce("doc_id", F.lit(-(2**63))))
+    state = grouped.withColumnRenamed("_t", "__t").groupBy("__d", "__t").agg(F.max("kept").alias("__kept"), F.count("*").alias("__n"))
+    state = stage(state.where(~F.col("__kept") | ((F.col("__n") > 1) & (F.col("__d") > -(2**63)))), "state")
     few = state.count() <= limit
-    rows = docs.withColumns({"_d": own[0], "_t": own[1]})
-    rows = rows.join(F.broadcast(state) if few else state.hint("shuffle_merge"), ["_d", "_t"], "left")
-    single = rows.where("_n is null")
-    several = rows.where("_kept").dropDuplicates(["_d", "_t"])
+    rows = docs.withColumns({"__d": own[0], "__t": own[1]})
+    rows = rows.join(F.broadcast(state) if few else state.hint("shuffle_merge"), ["__d", "__t"], "left")
+    single = rows.where("__n is null")
+    several = rows.where("__kept").dropDuplicates(["__d", "__t"])
     return single.union(several).select(*docs.columns)
 
 

@@ -65,7 +65,7 @@ def mix(
     a step of 24 hash bits allows. The same table and seed give the same mix.
 
     Null and empty texts have size 0 and are taken 0 times; rows that repeat an id are taken alike; a source without words
-    has target 0. Own columns named like the new ones, or starting with an underscore like the helpers, are replaced.
+    has target 0. Own columns named like the four new ones are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "taken")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -104,14 +104,14 @@ def mix(
     )
     cuts = cuts.toDF("c", "last")
     plan = plan.join(cuts, F.col("source").eqNullSafe(F.col("c")), "left").select(
-        F.col("source").alias("_source"), "source_size", "target", F.col("whole").alias("_whole"),
-        F.coalesce("last", F.lit(-1)).alias("_last"), F.coalesce("source", F.lit("")).alias("_s"),
-        F.col("source").isNull().alias("_n"),
+        F.col("source").alias("_source"), "source_size", "target", F.col("whole").alias("__whole"),
+        F.coalesce("last", F.lit(-1)).alias("__last"), F.coalesce("source", F.lit("")).alias("__s"),
+        F.col("source").isNull().alias("__n"),
     )
     plan = stage(plan.drop("_source"), "plan")
-    rows = docs.withColumn("_s", F.coalesce("source", F.lit(""))).withColumn("_n", F.col("source").isNull())
-    rows = join_ids(rows, plan, ["_s", "_n"])
-    times = F.col("_whole") + (fine <= F.col("_last")).cast("bigint")
+    rows = docs.withColumn("__s", F.coalesce("source", F.lit(""))).withColumn("__n", F.col("source").isNull())
+    rows = join_ids(rows, plan, ["__s", "__n"])
+    times = F.col("__whole") + (fine <= F.col("__last")).cast("bigint")
     return rows.withColumn("size", size).select(
         *docs.columns, "size", "source_size", "target", (F.col("size") * times).alias("taken")
     )
