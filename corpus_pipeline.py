@@ -16,7 +16,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier selects; it is fitted on the rated ones among them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = ordinal.train(docs, ordinal.graded(labels))
-    return ordinal.grade_documents(docs, model).where("selected").select(*docs.columns)
+    rows = docs.select("text", F.struct("*").alias("row"))  # whatever else the columns are called
+    return ordinal.grade_documents(rows, model).where("selected").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    return mixing.repeated(mixing.mix(docs)).select(*docs.columns)
+    rows = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
+    return mixing.repeated(mixing.mix(rows)).select("row.*")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
