@@ -23,6 +23,7 @@ LEVELS = 1000  # steps of entropy between 0 and the most that a window can have
 WEAK = 100  # steps of entropy at and below which a window is no feature
 RANGE_ROWS, MAX_RANGES = 4_000, 100_000
 _LANES = 4096
+READY_CHARS = 1 << 20  # of texts whose fingerprints are made together
 
 _COUNTS = np.arange(WINDOW + 2, dtype=float)
 _TERMS = np.zeros(WINDOW + 2)
@@ -73,7 +74,7 @@ def _inside(bounds: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(LEVELS + 1, np.int64)
-    for batch in kernels.blocks(batches):
+    for batch in kernels.blocks(batches, most=4 * READY_CHARS):
         data, bounds = kernels.text_buffer(batch.column("text"))
         level = entropies(data)
         _, inside = _inside(bounds, len(level))
@@ -193,7 +194,7 @@ def _compared(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, ready, size = None, ([], [], []), 0
         for batch in batches:
-            for piece in kernels.blocks([batch]):
+            for piece in kernels.blocks([batch], most=4 * READY_CHARS):
                 for doc, text, part, guest in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "text", "part", "guest"))):
                     text = text or ""
                     if waiting is not None and waiting[2] == part:
@@ -203,7 +204,7 @@ def _compared(ranks):
                         waiting = None
                     if not guest:
                         waiting = (doc, text, part)
-                    if size > kernels.BLOCK_BYTES // 4:
+                    if size > READY_CHARS:
                         yield results(*ready)
                         ready, size = ([], [], []), 0
         if ready[0]:

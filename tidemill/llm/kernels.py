@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 # Bytes between words: space and the five ASCII controls from tab to carriage return.
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(SEPARATORS)] = True
@@ -73,11 +73,16 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches whose texts have about :data:`BLOCK_BYTES` at most."""
+def blocks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The rows again, in batches whose texts have about ``most`` bytes at most.
+
+    Numpy's work on a block takes some fifty times its bytes, so this bounds a task's memory.
+    """
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        piece = (np.cumsum(size) - size) // BLOCK_BYTES
+        piece = (np.cumsum(size) - size) // most
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
