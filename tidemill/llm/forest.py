@@ -104,37 +104,56 @@ def _routed(forest, trees: int):
                 rows = np.concatenate(rows)
                 out = part.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [out.column("node"), out.column("grp"), pa.array(np.concatenate(tree_of)),
+                    [out.column("node"), out.column("copies"), out.column("grp"), pa.array(np.concatenate(tree_of)),
                      pa.array(np.concatenate(path_of)), out.column("unit"),
                      pa.array([home[r] for r in rows.tolist()], pa.list_(pa.int64()))],
-                    ["node", "grp", "tree", "path", "unit", "home"],
+                    ["node", "copies", "grp", "tree", "path", "unit", "home"],
                 )
 
     return run
 
 
 def _compared(least: float):
-    """Pairs of one leaf (or of two blocks of it), each given by the first leaf that the two share."""
+    """Links of one leaf (or of two blocks of it), gathered by node: ``node, root, others``.
+
+    ``root`` is the least node that the links found here lead to, ``others`` the copies of all nodes linked
+    directly, so a group of near copies gives a row for each of its nodes, not for each pair. A pair counts in
+    the first leaf that the two share.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         left = rows[rows["side"] == 0].reset_index(drop=True)
         right = rows[rows["side"] == 1].reset_index(drop=True)
-        found: list[tuple[int, int]] = []
+        others: dict[int, int] = {}
+        parent: dict[int, int] = {}
+
+        def root(node: int) -> int:
+            while parent.setdefault(node, node) != node:
+                parent[node] = parent[parent[node]]
+                node = parent[node]
+            return node
+
         if len(left) and len(right):
             here = int(rows["path"].iloc[0]) << 8 | int(rows["tree"].iloc[0])
             one, two = np.stack(left["unit"].to_numpy()), np.stack(right["unit"].to_numpy())
-            names, others = left["node"].to_numpy(), right["node"].to_numpy()
+            lefts, rights = left["node"].tolist(), right["node"].tolist()
+            weigh, weighs = left["copies"].tolist(), right["copies"].tolist()
             homes = [set(x) for x in right["home"]]
             whole = bool(rows["same"].iloc[0])
             for at in range(0, len(one), 256):
                 a, b = np.nonzero(one[at : at + 256] @ two.T >= least)
                 for i, j in zip((a + at).tolist(), b.tolist()):
-                    if whole and names[i] >= others[j]:
+                    x, y = lefts[i], rights[j]
+                    if whole and x >= y:
                         continue
                     shared = [h for h in left["home"].iat[i] if h in homes[j]]
                     if min(shared, key=lambda h: (h & 255, h)) == here:
-                        found.append((names[i], others[j]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                        others[x] = others.get(x, 0) + weighs[j]
+                        others[y] = others.get(y, 0) + weigh[i]
+                        low, high = sorted((root(x), root(y)))
+                        parent[high] = low
+        found = [(node, root(node), count) for node, count in others.items()]
+        return pd.DataFrame(found, columns=["node", "root", "others"], dtype="int64")
 
     return run
 
@@ -148,7 +167,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     i, j = F.least("p", "part"), F.greatest("p", "part")
     side = F.when(i == j, F.array(F.lit(0), F.lit(1))).otherwise(F.array((F.col("part") != i).cast("int")))
-    return rows.select("grp", "tree", "path", "node", "unit", "home", i.alias("i"), j.alias("j"), (i == j).alias("same"), F.explode(side).alias("side"))
+    return rows.select("grp", "tree", "path", "node", "copies", "unit", "home", i.alias("i"), j.alias("j"), (i == j).alias("same"), F.explode(side).alias("side"))
 
 
 def near_vectors(
@@ -204,16 +223,14 @@ def near_vectors(
             groups[group] = (part, counts[group] / len(part))
     forest = copies.sparkSession.sparkContext.broadcast(grow(groups, trees, leaf, spill))
 
-    kinds = "node bigint, grp bigint, tree int, path bigint, unit array<double>, home array<bigint>"
-    placed = copies.select("node", "grp", "size", "unit").repartition("node").mapInArrow(_routed(forest, trees), kinds)
-    pairs = _blocks(stage(placed, "leaves")).groupBy("grp", "tree", "path", "i", "j").applyInPandas(
-        _compared(least), "a bigint, b bigint"
+    kinds = "node bigint, copies bigint, grp bigint, tree int, path bigint, unit array<double>, home array<bigint>"
+    placed = copies.select("node", "copies", "grp", "size", "unit").repartition("node").mapInArrow(_routed(forest, trees), kinds)
+    links = _blocks(stage(placed, "leaves")).groupBy("grp", "tree", "path", "i", "j").applyInPandas(
+        _compared(least), "node bigint, root bigint, others bigint"
     )
-    pairs = stage(pairs, "pairs")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    weight = copies.select(F.col("node").alias("b"), "copies")
-    others = both.join(weight, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
-    found = components(pairs)
+    links = stage(links, "links")
+    others = links.groupBy("node").agg(F.sum("others").alias("others"))
+    found = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     nodes = copies.select("name", "node", "copies", "least").join(others, "node", "left").join(found, "node", "left")
     nodes = nodes.withColumn("root", F.coalesce("root", "node"))
     least_of = nodes.groupBy("root").agg(F.min("least").alias("component"))
