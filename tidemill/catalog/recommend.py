@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemill.catalog.tables import (
     BRAND_TITLES_SQL,
     LINE_PREFS_SQL,
+    PART_PREFS_SQL,
     brand_titles,
     line_prefs,
+    part_prefs,
     registrar,
     table,
     text,
@@ -18,7 +20,7 @@ from tidemill.operators.ranking import top_per_key
 from tidemill.operators.scoring import recommend_all as all_unseen
 from tidemill.operators.scoring import recommend_top, user_items, without_held
 from tidemill.operators.similarity import item_similarity, pair_counts, rating_cells
-from tidemill.operators.skew import lookup
+from tidemill.operators.skew import lookup, skewed_join
 from tidemill.plans.item_cf import similarities_and_recommendations
 from tidemill.session import stage
 
@@ -55,6 +57,7 @@ ranked AS (
 
 _LINES = f"WITH prefs AS {LINE_PREFS_SQL},{_PAIRS}"
 _CF = f"{_LINES},{_SIMS},{_SCORES}"
+_PARTS = f"WITH prefs AS {PART_PREFS_SQL},{_PAIRS},{_SIMS}"
 
 
 def _similar(sims):
@@ -75,6 +78,32 @@ def sim_cooccurrence(spark, folder):
     return _similar(item_similarity(line_prefs(spark, folder), "cooccurrence"))
 
 
+@query(f"{_LINES},{_SIMS} SELECT item_id1, item_id2, round(c.similar, 6) AS similar FROM cooccurrence c")
+def sim_cooccurrence_blocks(spark, folder):
+    """As :func:`sim_cooccurrence`, with thresholds so low that busy users and popular items are cut."""
+    prefs = line_prefs(spark, folder)
+    return _similar(item_similarity(prefs, items_per_block=4, rows_per_slice=200))
+
+
+@query(f"{_PARTS} SELECT item_id1, item_id2, round(c.similar, 6) AS similar FROM cooccurrence c")
+def sim_cooccurrence_parts(spark, folder):
+    """Parts as the items: a catalog that grows with the tables."""
+    return _similar(item_similarity(part_prefs(spark, folder)))
+
+
+@query(
+    f"""
+SELECT p.user_id, p.item_id, p.pref, t.title
+FROM {LINE_PREFS_SQL} p LEFT JOIN {BRAND_TITLES_SQL} t ON t.item_id = p.item_id"""
+)
+def join_hot_key_sliced(spark, folder):
+    """Titles of order lines by a shuffle join whose brands are all hot and cut into slices."""
+    prefs = stage(line_prefs(spark, folder), "prefs")
+    return skewed_join(prefs, brand_titles(spark, folder), "item_id", "left", rows_per_slice=50).select(
+        "user_id", "item_id", "pref", "title"
+    )
+
+
 @query(
     f"""{_LINES}
 SELECT p.i AS item_id1, p.j AS item_id2, round(p.dot / sqrt(a.dot * b.dot), 6) AS similar
@@ -139,6 +168,13 @@ def recommend_topn(spark, folder):
     return _scored(recommend_top(item_similarity(prefs), prefs, 5))
 
 
+@query(f"{_CF} SELECT user_id, item_id, round(pref, 6) AS pref, rank FROM ranked WHERE rank <= 5")
+def recommend_topn_grid(spark, folder):
+    """As :func:`recommend_topn`, scored in the grid of users and items at every size."""
+    prefs = stage(line_prefs(spark, folder), "prefs")
+    return _scored(recommend_top(item_similarity(prefs), prefs, 5, terms_per_task=500_000, broadcast_rows=0))
+
+
 @query(f"{_CF} SELECT user_id, item_id, round(pref, 6) AS pref FROM unseen")
 def recommend_all(spark, folder):
     prefs = stage(line_prefs(spark, folder), "prefs")

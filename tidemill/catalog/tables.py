@@ -103,6 +103,19 @@ SELECT CAST(o_custkey AS VARCHAR) AS user_id, p_brand AS item_id, l_quantity AS
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 
 
+def part_prefs(spark: SparkSession, folder: str) -> DataFrame:
+    """One preference per order line: customer, part, quantity."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    return with_customer(spark, folder, lines, lines).select(
+        text("o_custkey").alias("user_id"), text("l_partkey").alias("item_id"), F.col("l_quantity").alias("pref")
+    )
+
+
+PART_PREFS_SQL = """(
+SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS item_id, l_quantity AS pref
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 def brand_titles(spark: SparkSession, folder: str) -> DataFrame:
     """A title for the brands that have a part of size 1: ``(item_id, title)``."""
     return (
