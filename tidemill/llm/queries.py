@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import crossent, debruijn, digest, extract, forest, minhash, mixing, ordinal, packing, rollup
+from tidemill.llm import crossent, debruijn, digest, extract, forest, minhash, mixing, ordinal, packing, rollup, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op9_ordinal(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_debruijn(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.without_repeats(_table(spark, folder, "documents"), size=35)
+
+
+@query
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.round_trip(_table(spark, folder, "documents"))
