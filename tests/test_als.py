@@ -137,3 +137,68 @@ def test_movie_jobs_from_text(spark, tmp_path):
     assert [w.split(",")[0] for w in written] == [f"u{u}" for u in range(8)]
     assert all(w.count(":") == 5 for w in written)
     assert als.load(str(tmp_path / "out" / "model")).rank == 2
+
+
+def test_unseen_items_only_as_many_as_there_are(spark, coded, model):
+    rated = {(r.user_id, r.item_id) for r in coded.ratings.collect()}
+    found = als.recommend_unseen(model, coded, 8).collect()
+    assert not {(r.user_id, r.item_id) for r in found} & rated
+    items, scores = coded.items.count(), {}
+    for r in als.recommend_all_users(model, coded, items).collect():
+        scores.setdefault(r.user_id, []).append((r.rank, r.item_id))
+    for user in {u for u, _ in rated}:
+        own = [r.item_id for r in sorted((r for r in found if r.user_id == user), key=lambda r: r.rank)]
+        best = [i for _, i in sorted(scores[user]) if (user, i) not in rated]
+        assert own == best[:8]  # the same as dropping rated items from the whole ranking
+
+
+def test_unseen_for_some_users(spark, coded, model):
+    wanted = spark.createDataFrame([("u3",), ("nobody",)], "user_id string")
+    found = als.recommend_unseen(model, coded, 3, wanted).collect()
+    assert [r.rank for r in sorted(found, key=lambda r: r.rank)] == [1, 2, 3] and {r.user_id for r in found} == {"u3"}
+    assert als.recommend_unseen(model, coded, 3, wanted.where("user_id = 'nobody'")).count() == 0
+
+
+def test_holdout_keeps_a_rating_of_every_user_and_item(spark):
+    pick = random.Random(5)
+    cells = [(f"u{u}", i, 1.0) for u in range(30) for i in pick.sample(range(12), pick.randrange(1, 9))]
+    ratings = spark.createDataFrame(cells + cells[:5] + [("u1", None, 2.0)], "user_id string, item_id int, rating double")
+    split = als.split_holdout(ratings, 0.9).collect()
+    assert len(split) == len(cells) + 5
+    held = {(r.user_id, r.item_id) for r in split if r.held}
+    trained = {(r.user_id, r.item_id) for r in split if not r.held}
+    assert not held & trained and len(held) > 0.5 * len(cells)
+    assert {u for u, _ in trained} == {u for u, _, _ in cells}
+    assert {i for _, i in trained} == {i for _, i, _ in cells}
+    assert sorted(als.split_holdout(ratings.repartition(3), 0.9).collect()) == sorted(split)
+    assert sorted(als.split_holdout(ratings, 0.9, "other").collect()) != sorted(split)
+
+
+def test_holdout_of_learnable_ratings(spark):
+    """Ratings that are a product of a user's and an item's factor are predicted from the others."""
+    cells = [(u, i, (1 + u % 5) * (1 + i % 4) / 2.0) for u in range(40) for i in range(20) if (u * 7 + i * 3) % 4]
+    found = als.evaluate_holdout(spark.createDataFrame(cells, "user_id int, item_id int, rating double"), rank=2, reg=0.01).first()
+    assert found.held > 50 and found.mse < 0.1 * found.mean_mse
+    assert 0 < found.precision <= 1 and 0 < found.recall <= 1 and 0 < found.ndcg <= 1
+
+
+def test_ranges_go_on_where_they_stopped(spark, coded, model, tmp_path, monkeypatch):
+    folder = str(tmp_path / "ranges")
+    calls = []
+
+    def ranked(frame, own):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(frame, own)
+
+    real = als._ranked
+    with monkeypatch.context() as patch:
+        patch.setattr(als, "_ranked", ranked)
+        with pytest.raises(RuntimeError):
+            als.recommend_in_ranges(model, coded, folder, 3, users_per_range=6)
+    assert als.recommend_in_ranges(model, coded, folder, 3, users_per_range=6, most=0).count() == 2 * 6 * 3
+    whole = als.recommend_in_ranges(model, coded, folder, 3, users_per_range=6)
+    assert sorted(whole.collect()) == sorted(als.recommend_all_users(model, coded, 3).collect())
+    with pytest.raises(ValueError):
+        als.recommend_in_ranges(model, coded, folder, 4, users_per_range=6)

@@ -5,6 +5,7 @@ from tidemill import schemas
 from tidemill.catalog.batch import text_in_order
 from tidemill.session import new_folder, shared_root, stage
 from tidemill.sinks import batches
+from tidemill.sinks.keyed_table import KeyedTable
 from tidemill.sinks.text import cached, write_sorted_text
 
 
@@ -92,10 +93,88 @@ def test_cluster_needs_a_shared_folder():
         class conf:
             @staticmethod
             def get(key, default=None):
-                return default
+                return "file:/warehouse" if key == "spark.sql.warehouse.dir" else default
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(Session())
     Context.master = "local[2]"
     Context.setCheckpointDir = lambda self, path: None
-    assert "tidemill" in shared_root(Session())
+    assert shared_root(Session()) == "file:/warehouse/staging"
+    Session.conf.get = staticmethod(lambda key, default=None: "hdfs:/shared" if "checkpoint" in key else default)
+    Context.master = "yarn"
+    assert shared_root(Session()) == "hdfs:/shared"
+
+
+def keyed(spark, tmp_path, **options):
+    return KeyedTable(spark, str(tmp_path / "table"), **options)
+
+
+def clicks_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "key string, total bigint")
+
+
+def read(table):
+    return {r.key: r.total for r in table.read().collect()}
+
+
+def test_keyed_table_adds_every_batch_once(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=4)
+    assert read(table) == {}
+    table.add(clicks_of(spark, ("a", 1), ("b", 2), ("a", 3), (None, 4)), 0)
+    table.add(clicks_of(spark, ("a", 1), ("b", 2), ("a", 3), (None, 4)), 0)
+    table.add(clicks_of(spark, ("b", 5), ("c", 6)), 3)
+    table.add(clicks_of(spark, ("b", 5)), 1)  # before the last one: a replay
+    table.add(clicks_of(spark), 4)
+    assert read(table) == {"a": 4, "b": 7, None: 4, "c": 6}
+    assert table.state().batch_id == 4
+    assert [(r.key, r.total) for r in table.lookup("b").collect()] == [("b", 7)]
+    assert table.lookup("nobody").count() == 0
+
+
+def test_batch_rewrites_its_buckets_only(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=16)
+    table.add(clicks_of(spark, *[(f"k{i}", 1) for i in range(100)]), 0)
+    before = table.state()
+    table.add(clicks_of(spark, ("k5", 1)), 1)
+    after = table.state()
+    assert sum(a != b for a, b in zip(before.buckets, after.buckets)) == 1
+    assert read(table)["k5"] == 2 and len(read(table)) == 100
+
+
+def test_crash_between_write_and_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    table = keyed(spark, tmp_path, buckets=4)
+    table.add(clicks_of(spark, ("a", 1)), 0)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(KeyedTable, "_commit", crash)
+        with pytest.raises(RuntimeError):
+            table.add(clicks_of(spark, ("a", 10), ("z", 1)), 1)
+    again = keyed(spark, tmp_path, buckets=4)
+    assert read(again) == {"a": 1}
+    again.add(clicks_of(spark, ("a", 10), ("z", 1)), 1)
+    assert read(again) == {"a": 11, "z": 1}
+
+
+def test_reader_keeps_its_version_and_old_ones_go(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=2, kept=2)
+    table.add(clicks_of(spark, ("a", 1)), 0)
+    early, rows = table.state(), table.read()  # planned before the next commit
+    table.add(clicks_of(spark, ("a", 1)), 1)
+    assert [(r.key, r.total) for r in rows.collect()] == [("a", 1)]
+    for batch in range(2, 7):
+        table.add(clicks_of(spark, ("a", 1)), batch)
+    assert read(table) == {"a": 7}
+    assert len(table.states()) == 2 and early.version not in [s.version for s in table.states()]
+    held = {p.parent.parent.name for p in (tmp_path / "table" / "data").glob("*/*/part-*")}
+    assert held == {f"version={v}" for s in table.states() for v in s.buckets if v >= 0}
+
+
+def test_keyed_table_as_the_sink_of_a_stream(spark, tmp_path):
+    table = keyed(spark, tmp_path, buckets=4)
+    write = table.writer("uid", "click_count")
+    write(batch(spark, ("u1", 5), ("u2", 1)), 0)
+    write(batch(spark, ("u1", 7)), 1)
+    assert read(table) == {"u1": 12, "u2": 1}

@@ -1,9 +1,10 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import skew
+from tidemill.operators import frequent, skew
 
 
 @pytest.fixture
@@ -75,3 +76,32 @@ def test_lookup_is_the_same_with_and_without_broadcast(big, small, rows):
     assert rows(skew.lookup(big, small, "key")) == expected
     assert rows(skew.lookup(big, small, "key", max_rows=3)) == expected
     assert rows(skew.lookup(big, small, "key", costly=True, max_rows=3)) == expected
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_frequent_keys_equal_the_counts(spark, kind):
+    pick = random.Random(8)
+    keys = [i % 7 for i in range(3_000)] + [10 + pick.randrange(4_000) for _ in range(6_000)] + [5_000] * 400 + [None] * 900
+    pick.shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").select(F.col("k").cast(kind).alias("k")).repartition(6)
+    for least in (20, 300, 420, 10_000):
+        found = frequent.frequent_keys(df, "k", least, len(keys))
+        exact = df.where("k is not null").groupBy("k").count().where(f"count > {least}")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
+
+
+def test_counters_stay_few(spark):
+    batches = [pa.RecordBatch.from_arrays([pa.array([1] * 300 + list(range(at, at + 700)))], ["k"]) for at in range(0, 70_000, 700)]
+    (found,) = list(frequent._summary(0.2)(iter(batches)))
+    assert found.column("key").to_pylist() == [1]
+    assert found.num_rows < 5
+
+
+def test_looking_for_heavy_keys_does_not_shuffle_rows_by_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).select((F.col("id") % 9_000).alias("k")).union(spark.sql("SELECT explode(repeat_of) FROM (SELECT array_repeat(7L, 3000) AS repeat_of)")).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert [tuple(r) for r in skew.heavy_in_table(df, "k", 1_000).collect()] == [(7, 4)]
+    assert skew.heavy_in_table(df, "k", 10_000) is None
+    plan = frequent.frequent_keys(df, "k", 1_000, df.count())._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan  # what is grouped are rows of the named keys

@@ -1,6 +1,10 @@
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from tidemill import schemas
+from tidemill.functions.fields import date_prefix
+from tidemill.operators import rejects
 from tidemill.operators.traffic import pv_ip_uv
 from tidemill.sources import text as src
 from tidemill.sources.streams import kafka_options, parse_clicks
@@ -146,3 +150,53 @@ def test_strange_numbers_make_a_click_invalid(lines):
     assert [r.valid for r in found] == [False, False, True, True]
     assert [r.click_count for r in found] == [None, None, 5, 9007199254740993]
     assert found[2].event_time is None
+
+
+def test_last_line_of_several_files_wins(spark, tmp_path):
+    (tmp_path / "a").write_text("1,8,first\n2,8,zeta\n2,8,alpha\n")
+    (tmp_path / "b").write_text("1,8,b, with comma\n,8,nobody\n" + "9,1,filler\n" * 200 + "9,1,end\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        lines = src.read_ordered_lines(spark, str(tmp_path))
+        found = {r.movie_id: r.title for r in src.parse_movies(lines, order="line_order").collect()}
+        assert lines.rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {1: "b, with comma", 2: "alpha", 9: "end"}
+
+
+def test_rejects_are_counted_in_the_same_pass(lines):
+    seen = Observation()
+    good = src.parse_search(lines("onlyname", "ann shoes", "", "bob hat"), seen)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "CollectMetrics" in plan
+    assert good.count() == 2
+    assert rejects.counted(seen) == {"accepted": 2, "rejected": 2}
+    seen = Observation()
+    log = src.parse_timed_log(lines(*LOG, "yesterday|~||~|ip|~||~||~||~|c", "short"), seen)
+    assert log.count() == 6
+    assert rejects.counted(seen) == {"accepted": 6, "rejected": 2}
+
+
+PREFIXES = ["", "1", "19", "199", "1996", "19965", "1996-", "1996-1", "1996-12", "1996-12-", "1996-12-1", "1996-12-31", "1996-2-29",
+            "1997-2-29", "1996-02", "1996-13", "9999", "9999-12-31", "x", "1996-1-1-", "0", "-", "1996--1"]
+
+
+def test_date_prefixes_are_ranges_with_the_same_days(spark):
+    days = spark.sql("SELECT explode(sequence(date'1995-12-01', date'1998-03-05')) AS day").union(
+        spark.sql("SELECT explode(array(date'0001-01-01', date'0019-05-01', date'9999-12-31', date'9999-12-01', null))")
+    )
+    days = days.withColumn("at", F.date_format("day", "yyyy-M-d"))
+    days = days.withColumn("at", F.concat_ws("-", F.year("day"), F.month("day"), F.day("day"))).persist()
+    for prefix in PREFIXES:
+        by_range = days.where(date_prefix("day", prefix)).count()
+        by_text = days.where(F.col("day").isNotNull() & F.col("at").startswith(prefix)).count()
+        assert by_range == by_text, prefix
+
+
+def test_date_prefix_reaches_the_scan(spark, small):
+    from tidemill.catalog import queries
+
+    plan = queries()["orders_in_year"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in pushed and "LessThan(o_orderdate,1997-01-01" in pushed

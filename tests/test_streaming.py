@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from tests.test_sources import LOG, log_line
 from tidemill import schemas
 from tidemill.plans import streams as jobs
+from tidemill.operators.rejects import accepted, counted_in_stream
 from tidemill.sinks import batches
+from tidemill.sinks.ledger import Ledger, file_place, kafka_place
 from tidemill.sources.streams import parse_clicks, replay_stream, text_stream
+from tidemill.streaming.late import late_rows, read_late
 from tidemill.streaming.run import run_to_end, start, to_console
 from tidemill.streaming.totals import running_totals
-from tidemill.streaming.windows import hottest, item_windows, latest, traffic_windows
+from tidemill.streaming.windows import hottest, item_windows, latest, traffic_windows, united, visitor_sketches
 
 DAY = datetime(2024, 1, 1)
 
@@ -257,3 +260,105 @@ def test_events_may_be_a_folder_of_files(spark, small, tmp_path):
     for name in ("stream_batch_sql", "stream_running_totals"):
         one = sorted(map(tuple, QUERIES[name](spark, small).collect()))
         assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) == one
+
+
+@pytest.mark.parametrize("early, windows, dropped", [(False, [1, 1, 1, 1], 1), (True, [2, 1, 1, 1], 0)])
+def test_late_rows_are_counted_beside_the_output(spark, inbox, folders, tmp_path, early, windows, dropped):
+    """One minute of watermark: 00:00:20 after a batch that closed its window is late, with that batch it is not."""
+    deliveries = [["10 x", "600 x"], ["660 x"], ["720 x"], ["1800 x"]]
+    deliveries[1 if early else 2].insert(0, "20 x")
+    for lines in deliveries:
+        inbox.deliver(*lines)
+    counts = item_windows(timed(spark, inbox), window="60 seconds", slide="60 seconds")
+    with late_rows(spark, str(tmp_path / "late"), "searches") as listener:
+        query = start(counts, folders[1], batches.batch_writer(folders[0]), name="searches")
+        query.awaitTermination()
+        listener.finish(query)
+    found = spark.read.parquet(folders[0]).collect()
+    assert sorted((seconds(r.window_start), r.n) for r in found) == list(zip([0, 600, 660, 720], windows))
+    late = read_late(spark, str(tmp_path / "late")).orderBy("batch_id").collect()
+    assert sum(r.late_rows for r in late) == dropped
+    assert sum(r.input_rows for r in late) == 6
+    assert [r.batch_id for r in late] == list(range(len(late)))
+    if dropped:
+        assert [r.batch_id for r in late if r.late_rows] == [r.batch_id for r in late if r.input_rows == 2][1:2]
+
+
+def test_sketches_unite_in_any_order(spark, inbox, folders):
+    visits = [(s, f"c{s * 7919 % 900}") for s in range(0, 3_000)]
+    for at in range(0, 3_000, 500):
+        inbox.deliver(*[f"{s} {c}" for s, c in visits[at : at + 500]])
+    inbox.deliver("90000 end")
+    stream = timed(spark, inbox).select("ts", F.lit("1.1.1.1").alias("ip"), F.col("item").alias("cookie_id"))
+    run_to_end(visitor_sketches(stream, "10 minutes"), folders[1], batches.batch_writer(folders[0]))
+    sketches = spark.read.parquet(folders[0])
+    assert sketches.count() == 5
+    day = united(sketches, F.to_date("window_start")).first()
+    assert day.pv == 3_000 and abs(day.uv - 900) <= 27
+    for order in (F.asc("window_start"), F.desc("window_start")):
+        again = united(sketches.repartition(3).sortWithinPartitions(order), F.to_date("window_start")).first()
+        assert again.uv == day.uv
+    halves = sketches.groupBy((F.minute("window_start") < 20).alias("half")).agg(
+        F.sum("pv").alias("pv"), F.hll_union_agg("visitors").alias("visitors")
+    )
+    assert united(halves, F.lit(1)).first().uv == day.uv
+
+
+def test_stream_counts_its_rejects(spark, inbox, folders):
+    inbox.deliver(click("a", 1), '{"uid":', '{"uid":"u"}')
+    inbox.deliver(click("b", 2), "nothing")
+    clicks = accepted(parse_clicks(messages(spark, inbox)), F.col("valid"))
+    query = start(clicks, folders[1], batches.batch_writer(folders[0]))
+    query.awaitTermination()
+    assert counted_in_stream(query) == {"accepted": 2, "rejected": 3}
+    assert spark.read.parquet(folders[0]).count() == 2
+
+
+def ledger_run(spark, inbox, out, checkpoint):
+    ledger = Ledger(spark, out, checkpoint)
+    placed = ledger.unread(file_place(messages(spark, inbox)))
+    clicks = parse_clicks(placed, keep=["source", "position"])
+    run_to_end(clicks, checkpoint, ledger.writer("uid", "click_count"))
+    return {r.key: r.total for r in ledger.totals().collect()}, ledger
+
+
+def test_totals_survive_the_loss_of_the_checkpoint(spark, inbox, tmp_path):
+    out = str(tmp_path / "out")
+    inbox.deliver(click("a", 1), click("b", 10), "broken")
+    inbox.deliver(click("a", 2))
+    assert ledger_run(spark, inbox, out, str(tmp_path / "c1"))[0] == {"a": 3, "b": 10}
+    inbox.deliver(click("a", 4))
+    # another checkpoint begins at the first file again
+    assert ledger_run(spark, inbox, out, str(tmp_path / "c2"))[0] == {"a": 7, "b": 10}
+    inbox.deliver(click("b", 5))
+    found, ledger = ledger_run(spark, inbox, out, str(tmp_path / "c2"))
+    assert found == {"a": 7, "b": 15} and ledger.epoch == 2
+    assert ledger_run(spark, inbox, out, str(tmp_path / "c3"))[0] == found
+    files = ledger.ranges().groupBy("source").agg(F.sum("rows").alias("rows"))
+    assert sorted(r.rows for r in files.collect()) == [1, 1, 1, 3]
+
+
+def test_batch_that_stopped_before_its_ranges_does_not_count(spark, inbox, tmp_path):
+    out = str(tmp_path / "out")
+    inbox.deliver(click("a", 1))
+    spark.createDataFrame([("a", 1)], "key string, total bigint").write.parquet(f"{out}/sums/epoch=1/batch_id=0")
+    assert ledger_run(spark, inbox, out, str(tmp_path / "c"))[0] == {"a": 1}
+
+
+def test_replayed_batch_leaves_the_ledger_alone(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "out"), str(tmp_path / "c"))
+    rows = spark.createDataFrame([("a", 1, "t/0", 5), ("a", 2, "t/1", 9)], "uid string, n int, source string, position bigint")
+    write = ledger.writer("uid", "n")
+    write(rows, 0)
+    write(rows.limit(1), 0)
+    write(rows.limit(0), 1)
+    assert [(r.key, r.total) for r in ledger.totals().collect()] == [("a", 3)]
+    assert json.loads(ledger.starting_offsets()) == {"t": {"0": 6, "1": 10}}
+
+
+def test_kafka_rows_behind_the_ledger_are_left_out(spark, tmp_path):
+    rows = spark.createDataFrame([("t", 0, o, "x") for o in range(10)], "topic string, partition int, offset bigint, value string")
+    first = Ledger(spark, str(tmp_path / "out"), str(tmp_path / "c1"))
+    first.writer("value", "one")(kafka_place(rows.where("offset < 6")).withColumn("one", F.lit(1)), 0)
+    then = Ledger(spark, str(tmp_path / "out"), str(tmp_path / "c2"))
+    assert sorted(r.offset for r in then.unread(kafka_place(rows)).collect()) == [6, 7, 8, 9]

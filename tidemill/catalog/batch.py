@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from tidemill import schemas
@@ -19,14 +19,16 @@ from tidemill.catalog.tables import (
     with_customer,
     written_lines,
 )
-from tidemill.functions.fields import clock_text, unpadded_date
+from tidemill.functions.fields import clock_text, date_prefix, unpadded_date
 from tidemill.functions.ids import decode, dense_ids, encode
 from tidemill.operators import people as p
 from tidemill.operators import purchases as b
+from tidemill.operators import rejects
 from tidemill.operators.als import history_of, titles_in
+from tidemill.operators.frequent import frequent_keys
 from tidemill.operators.skew import lookup
 from tidemill.operators import traffic as t
-from tidemill.session import new_folder
+from tidemill.session import new_folder, stage
 from tidemill.sinks.text import write_sorted_text
 from tidemill.sources import text as src
 from tidemill.sources.streams import parse_clicks
@@ -372,9 +374,10 @@ def json_sum_by_key(spark, folder):
     return t.sum_by_key(clicks, "uid", "click_count")
 
 
-def click_messages(events):
-    """Events as the JSON messages of a click stream."""
+def click_messages(events, keep=()):
+    """Events as the JSON messages of a click stream, with the columns of ``keep``."""
     return events.select(
+        *keep,
         F.to_json(
             F.struct(
                 text("user_id").alias("uid"),
@@ -498,3 +501,81 @@ def text_in_order(spark, path):
         .join(starts, ["file", "block"])
         .select((F.col("start") + F.col("place")).alias("place"), "line")
     )
+
+
+# --- rejects, typed prefixes, order of lines, frequent keys -----------------------------------
+
+_OUTCOMES = """
+SELECT 'accepted' AS outcome, count(*) FILTER (NOT {0}) AS n FROM events
+UNION ALL SELECT 'rejected', count(*) FILTER ({0}) FROM events"""
+
+
+def _outcomes(spark, counts):
+    return spark.createDataFrame(sorted(counts.items()), "outcome string, n bigint")
+
+
+@query(_OUTCOMES.format("event_type IN ('error', 'signup')"))
+def log_rejects(spark, folder):
+    """Log lines with an unreadable time or too few fields, counted while the others are written."""
+    lines = table(spark, folder, "events").select(
+        F.expr(
+            "CASE event_type WHEN 'error' THEN concat_ws('|~|', 'yesterday', '', 'ip', '', '', '', user_id) "
+            "WHEN 'signup' THEN concat('|~|', event_id) "
+            "ELSE concat_ws('|~|', ts, '', event_type, '', '', '', user_id) END"
+        ).alias("line")
+    )
+    observation = Observation()
+    stage(src.parse_timed_log(lines, observation), "log-rows")
+    return _outcomes(spark, rejects.counted(observation))
+
+
+@query(_OUTCOMES.format("event_type = 'error'"))
+def search_rejects(spark, folder):
+    """Search lines without an item."""
+    lines = table(spark, folder, "events").select(
+        F.expr("if(event_type = 'error', string(user_id), concat_ws(' ', user_id, event_type))").alias("line")
+    )
+    observation = Observation()
+    stage(src.parse_search(lines, observation), "searches")
+    return _outcomes(spark, rejects.counted(observation))
+
+
+_IN_1996 = "(order_date LIKE '1996%' OR order_date LIKE '1997-1%')"
+
+
+@query(
+    f"""
+SELECT order_id, order_date, price FROM {PURCHASES_SQL} WHERE {_IN_1996}"""
+)
+def orders_in_year(spark, folder):
+    """Orders whose date text begins with 1996 or 1997-1, by ranges of the typed date that reach the scan."""
+    inside = date_prefix("o_orderdate", "1996") | date_prefix("o_orderdate", "1997-1")
+    return table(spark, folder, "orders").where(inside).select(
+        F.col("o_orderkey").alias("order_id"),
+        F.date_format("o_orderdate", "yyyy-M-d").alias("order_date"),
+        F.floor("o_totalprice").cast("int").alias("price"),
+    )
+
+
+@query(
+    """
+SELECT movie_id, title FROM (
+  SELECT p_size AS movie_id, p_name AS title,
+         row_number() OVER (PARTITION BY p_size ORDER BY p_name) AS place
+  FROM part) WHERE place = 1"""
+)
+def dim_movies_last(spark, folder):
+    """Of repeated ids over several files, the last line's title; titles descend from file to file, so it is the least one."""
+    order = F.desc("p_name")
+    parts = table(spark, folder, "part").repartitionByRange(4, order).sortWithinPartitions(order)
+    line = F.concat_ws(",", "p_size", "p_retailprice", "p_name")
+    path = written_lines(parts, line, "movies")
+    return src.parse_movies(src.read_ordered_lines(spark, path), order="line_order")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 100")
+def heavy_keys_sketch(spark, folder):
+    """Users with over 100 events, by summaries of the tasks and a count of their candidates only."""
+    events = table(spark, folder, "events")
+    found = frequent_keys(events, "user_id", 100, events.count())
+    return found.select(text("key").alias("key"), "n")

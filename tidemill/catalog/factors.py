@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.catalog.tables import brand_titles, line_prefs, registrar, table, text
 from tidemill.operators import als
-from tidemill.session import new_folder
+from tidemill.session import new_folder, stage
 
 QUERIES, ORACLES = {}, {}
 query = registrar(QUERIES, ORACLES)
@@ -183,3 +183,86 @@ def als_save_load(spark, folder):
         for side, before, after in sides
     ]
     return checks[0].unionByName(checks[1])
+
+
+_UNSEEN = """
+SELECT user_id, least(5, (SELECT count(DISTINCT p_brand) FROM part JOIN lineitem ON l_partkey = p_partkey) - count(*)) AS n"""
+
+
+@query(
+    f"""
+SELECT * FROM ({_UNSEEN}, true AS none_rated, true AS titles_right FROM {_RATINGS} GROUP BY user_id) WHERE n > 0"""
+)
+def als_unseen_topn(spark, folder):
+    """Every user's best items among those not rated: as many as there are, none rated, with the titles of the table."""
+    rated = ratings(spark, folder)
+    coded = als.code_ratings(rated)
+    best = stage(als.recommend_unseen(als.fit(coded, rank=10, reg=0.01), coded), "best")
+    again = best.join(coded.ratings, ["user_id", "item_id"], "left_semi").select("user_id", "item_id", F.lit(True).alias("again"))
+    titles = brand_titles(spark, folder)
+    named = best.join(again, ["user_id", "item_id"], "left").join(titles, "item_id", "left")
+    texts = _title_checks(als.as_text_rows(best, titles), titles)
+    per_user = named.groupBy("user_id").agg(F.count("*").alias("n"), (F.count("again") == 0).alias("none_rated"))
+    return per_user.join(texts, "user_id").select("user_id", "n", "none_rated", "titles_right")
+
+
+def _title_checks(texts, titles):
+    """Whether every ``id:title`` of a user's text has the title of the table, or none where it has none."""
+    entries = texts.select("user_id", F.explode(F.split("recommendations", ",(?=Brand#)")).alias("entry"))
+    split = F.split("entry", ":", 2)
+    entries = entries.select("user_id", F.get(split, F.lit(0)).alias("item_id"), F.get(split, F.lit(1)).alias("given"))
+    right = F.col("given") == F.coalesce("title", F.lit(""))
+    return entries.join(titles, "item_id", "left").groupBy("user_id").agg(
+        F.every(right).alias("titles_right"), F.count("*").alias("entries")
+    )
+
+
+def _quantities(spark, folder):
+    """A customer's whole quantity of a brand: busy customers buy more of every brand, which factors can learn."""
+    return line_prefs(spark, folder).groupBy("user_id", "item_id").agg(F.sum("pref").alias("rating"))
+
+
+_SPLIT = """
+marked AS (
+  SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, p_brand AS item_id,
+         md5(CAST(o_custkey AS VARCHAR) || '|' || p_brand || '|holdout') AS mark
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+split AS (
+  SELECT user_id, item_id,
+         mark[1:8] < '33333333' AND mark > min(mark) OVER (PARTITION BY user_id)
+         AND mark > min(mark) OVER (PARTITION BY item_id) AS held
+  FROM marked)"""
+
+
+@query(f"WITH {_SPLIT} SELECT user_id, item_id, held FROM split")
+def als_holdout_split(spark, folder):
+    return als.split_holdout(_quantities(spark, folder)).select("user_id", "item_id", "held")
+
+
+@query(f"WITH {_SPLIT} SELECT count(*) AS held, true AS finite, true AS below_mean, true AS ranked FROM split WHERE held")
+def als_holdout(spark, folder):
+    """Held-out ratings are predicted better than by the mean of the others."""
+    found = als.evaluate_holdout(_quantities(spark, folder), rank=1, reg=0.2)
+    ranked = F.lit(True)
+    for metric in ("precision", "recall", "ndcg"):
+        ranked &= (F.col(metric) > 0) & (F.col(metric) <= 1)
+    return found.select(
+        "held", (~F.isnan("mse")).alias("finite"), (F.col("mse") < F.col("mean_mse")).alias("below_mean"), ranked.alias("ranked")
+    )
+
+
+@query(
+    """
+SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, 5 AS entries, true AS titles_right
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""
+)
+def als_recommend_ranges(spark, folder):
+    """Recommendations of all users in ranges: stopped after two, run again, every user there once."""
+    coded = als.code_ratings(ratings(spark, folder))
+    model = als.fit(coded, rank=10, reg=0.01)
+    out, size = new_folder(spark, "ranges"), -(-coded.users.count() // 5)
+    als.recommend_in_ranges(model, coded, out, users_per_range=size, most=2)
+    rows = als.recommend_in_ranges(model, coded, out, users_per_range=size)
+    titles = brand_titles(spark, folder)
+    checked = _title_checks(als.as_text_rows(rows, titles), titles)
+    return checked.select("user_id", F.col("entries").cast("int").alias("entries"), "titles_right")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.catalog.tables import (
@@ -85,10 +86,24 @@ def sim_cooccurrence_blocks(spark, folder):
     return _similar(item_similarity(prefs, items_per_block=4, rows_per_slice=200))
 
 
-@query(f"{_PARTS} SELECT item_id1, item_id2, round(c.similar, 6) AS similar FROM cooccurrence c")
+@query(
+    f"""{_PARTS}, ranked AS (
+  SELECT item_id1, item_id2, c.similar AS likeness,
+         row_number() OVER (PARTITION BY item_id1 ORDER BY round(c.similar, 9) DESC, item_id2) AS place
+  FROM cooccurrence c)
+SELECT item_id1, count(*) AS neighbours, round(sum(likeness), 6) AS total,
+       string_agg(item_id2, ',' ORDER BY place) FILTER (WHERE place <= 10) AS nearest
+FROM ranked GROUP BY 1"""
+)
 def sim_cooccurrence_parts(spark, folder):
-    """Parts as the items: a catalog that grows with the tables."""
-    return _similar(item_similarity(part_prefs(spark, folder)))
+    """Parts as the items, a catalog that grows with the tables: of all pairs, what each part has in them."""
+    pairs = stage(item_similarity(part_prefs(spark, folder)), "part-pairs")
+    order = Window.partitionBy("item_id1").orderBy(F.round("similar", 9).desc(), "item_id2")
+    best = pairs.withColumn("place", F.row_number().over(order)).where("place <= 10")
+    nearest = F.transform(F.sort_array(F.collect_list(F.struct("place", "item_id2"))), lambda x: x["item_id2"])
+    best = best.groupBy("item_id1").agg(F.array_join(nearest, ",").alias("nearest"))
+    sums = pairs.groupBy("item_id1").agg(F.count("*").alias("neighbours"), F.round(F.sum("similar"), 6).alias("total"))
+    return sums.join(best, "item_id1")
 
 
 @query(

@@ -9,14 +9,18 @@ from tidemill import schemas
 from tidemill.catalog.batch import click_messages
 from tidemill.catalog.tables import registrar, table, text
 from tidemill.functions.fields import clock_text
+from tidemill.operators.rejects import accepted, counted_in_stream
 from tidemill.operators.traffic import pv_ip_uv
 from tidemill.plans.streams import clicks_per_user
-from tidemill.session import new_folder
+from tidemill.session import new_folder, stage
+from tidemill.sinks.keyed_table import KeyedTable
+from tidemill.sinks.ledger import Ledger, file_place
 from tidemill.sinks.batches import batch_writer, compact_totals, read_batches, read_totals
-from tidemill.sources.streams import parse_clicks, replay_stream
-from tidemill.streaming.run import run_to_end
+from tidemill.sources.streams import parse_clicks, replay_stream, text_stream
+from tidemill.streaming.late import late_rows, read_late
+from tidemill.streaming.run import run_to_end, start
 from tidemill.streaming.totals import batch_report, running_totals
-from tidemill.streaming.windows import hottest, item_windows, latest, traffic_windows
+from tidemill.streaming.windows import hottest, item_windows, latest, traffic_windows, united, visitor_sketches
 
 QUERIES, ORACLES = {}, {}
 query = registrar(QUERIES, ORACLES)
@@ -190,3 +194,103 @@ def stream_resume(spark, folder):
         messages = click_messages(replay_stream(spark, inbox, events.schema))
         clicks_per_user(messages, out, checkpoint, every=None).awaitTermination()
     return read_totals(spark, out, schemas.COUNTS)
+
+
+_TOO_LATE = "(event_type = 'error' AND ts < (SELECT max(ts) FROM events) - INTERVAL '10 days')"
+
+
+@query(
+    f"""
+SELECT 'window' AS kind, strftime(time_bucket(INTERVAL '6 hours', ts), {_FORMAT}) AS name, count(*) AS n
+FROM events WHERE NOT {_TOO_LATE} GROUP BY 2
+UNION ALL
+SELECT 'late', 'rows', count(*) FROM events WHERE {_TOO_LATE}"""
+)
+def stream_late_rows(spark, folder):
+    """Old errors are delivered when their windows have long been closed: counted as late, not in the windows."""
+    (out, checkpoint), late = _folders(spark, "late"), new_folder(spark, "late-rows")
+    inbox = new_folder(spark, "inbox")
+    events = table(spark, folder, "events")
+    last = events.agg(F.max("ts").alias("m")).first()["m"]
+    held = (F.col("event_type") == "error") & (F.col("ts") < F.lit(last) - F.expr("INTERVAL 10 DAYS"))
+    closing = events.orderBy(F.desc("ts")).limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 9 DAYS"))
+    for delivery in (events.where(~held), events.where(held), closing):
+        delivery.write.mode("append").parquet(inbox)
+        stream = replay_stream(spark, inbox, events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        # every event is a group of its own, so the rows that the state drops are events
+        rows = stream.select("ts", text("event_id").alias("item"))
+        counts = item_windows(rows, window="6 hours", slide="6 hours", delay=DELAY)
+        with late_rows(spark, late, "late") as listener:
+            running = start(counts, checkpoint, batch_writer(out), name="late")
+            running.awaitTermination()
+            listener.finish(running)
+    windows = read_batches(spark, out, counts.schema).groupBy("window_start").agg(F.sum("n").alias("n"))
+    dropped = read_late(spark, late).agg(F.sum("late_rows").alias("n"))
+    return windows.select(F.lit("window").alias("kind"), clock_text("window_start").alias("name"), "n").unionByName(
+        dropped.select(F.lit("late").alias("kind"), F.lit("rows").alias("name"), "n")
+    )
+
+
+@query(
+    """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS pv, true AS near FROM events GROUP BY 1"""
+)
+def stream_uv_sketch(spark, folder):
+    """Visitors per day from the stored sketches of six hours each, within 3 % of the exact number."""
+    out, checkpoint = _folders(spark, "sketches")
+    schema = closed_windows(
+        spark, folder, out, checkpoint, lambda events: visitor_sketches(_log(events), "6 hours", DELAY)
+    )
+    days = united(read_batches(spark, out, schema), F.date_format("window_start", "yyyy-MM-dd"))
+    events = table(spark, folder, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("period"), "user_id")
+    exact = events.groupBy("period").agg(F.countDistinct("user_id").alias("exact"))
+    near = F.abs(F.col("uv") - F.col("exact")) <= 0.03 * F.col("exact")
+    return days.join(exact, "period").select(F.col("period").alias("day"), "pv", near.alias("near"))
+
+
+@query(_CLICK_SUMS.format("key"))
+def sink_keyed_table(spark, folder):
+    """Totals in versioned buckets; the second delivery is handed over twice."""
+    out = new_folder(spark, "keyed-table")
+    clicks = parse_clicks(click_messages(table(spark, folder, "events"))).where("valid")
+    rows = stage(clicks.select(F.col("uid").alias("key"), F.col("click_count").alias("total")), "clicks")
+    part = F.pmod(F.xxhash64("key", "total"), F.lit(4))
+    keyed = KeyedTable(spark, out)
+    for batch in (0, 1, 1, 2, 3):
+        keyed.add(rows.where(part == batch), batch)
+    return keyed.read()
+
+
+@query(_CLICK_SUMS.format("key"))
+def stream_offset_ledger(spark, folder):
+    """The checkpoint is lost after the first delivery; the ledger tells the new one what has been read."""
+    out, inbox = new_folder(spark, "ledger"), new_folder(spark, "inbox")
+    events = table(spark, folder, "events")
+    early = F.col("event_type").isin("click", "view")
+    for delivery in (events.where(early), events.where(~early)):
+        click_messages(delivery).select("value").write.mode("append").text(inbox)
+        checkpoint = new_folder(spark, "ledger-checkpoint")
+        ledger = Ledger(spark, out, checkpoint)
+        messages = ledger.unread(file_place(text_stream(spark, inbox)))
+        clicks = parse_clicks(messages, keep=["source", "position"])
+        writer = ledger.writer("uid", "click_count")
+        run_to_end(clicks, checkpoint, writer)
+    return ledger.totals()
+
+
+@query(
+    """
+SELECT 'accepted' AS outcome, count(*) FILTER (event_type <> 'error') AS n FROM events
+UNION ALL SELECT 'rejected', count(*) FILTER (event_type = 'error') FROM events"""
+)
+def click_rejects(spark, folder):
+    """Broken click messages, counted by the stream itself while it adds up the others."""
+    out, checkpoint = _folders(spark, "click-rejects")
+    broken = F.when(F.col("event_type") == "error", F.lit('{"uid":')).otherwise(F.col("value"))
+    events = events_stream(spark, folder)
+    messages = click_messages(events, keep=["event_type"]).select(broken.alias("value"))
+    clicks = accepted(parse_clicks(messages), F.col("valid"))
+    running = start(clicks, checkpoint, batch_writer(out))
+    running.awaitTermination()
+    counts = counted_in_stream(running)
+    return spark.createDataFrame(sorted(counts.items()), "outcome string, n bigint")

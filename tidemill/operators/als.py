@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from itertools import product
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.errors import AnalysisException
+from pyspark.ml.evaluation import RankingEvaluator, RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemill.functions.fields import ranked_titles
 from tidemill.functions.ids import dense_ids, encode
@@ -182,16 +183,154 @@ def recommend_some_users(
     return _ranked(model.recommendForUserSubset(codes, n), coded)
 
 
+def recommend_unseen(
+    model: ALSModel, coded: CodedRatings, n: int = TOP, wanted: DataFrame | None = None
+) -> DataFrame:
+    """The ``n`` best items that each user (or each ``user_id`` of ``wanted``) has not rated, fewer where fewer are left.
+
+    The solver cannot leave items out, so more are asked for: users are put into classes by how many items they have
+    rated, each class twice as wide as the one before, and a class is asked for ``n`` more than its bound. A user with few
+    ratings so costs few surplus rows, whatever the busiest user has rated.
+    """
+    seen = stage(coded.ratings.select("user_code", "item_code").distinct(), "seen")
+    counts = seen.groupBy("user_code").agg(F.count("*").alias("held"))
+    if wanted is not None:
+        codes = coded.users.join(wanted.select("user_id").distinct(), "user_id", "left_semi")
+        counts = counts.join(codes.select("user_code"), "user_code", "left_semi")
+    tiers = stage(counts.select("user_code", F.ceil(F.log2("held")).cast("int").alias("tier")), "tiers")
+    items = coded.items.count()
+    found = None
+    for row in sorted(tiers.select("tier").distinct().collect()):  # a row for each doubling
+        users = tiers.where(F.col("tier") == row["tier"]).select("user_code")
+        asked = model.recommendForUserSubset(users, min(items, n + 2 ** row["tier"]))
+        found = asked if found is None else found.unionByName(asked)
+    if found is None:
+        found = model.recommendForUserSubset(tiers.select("user_code"), n)
+    rows = found.select("user_code", F.inline("recommendations")).join(seen, ["user_code", "item_code"], "left_anti")
+    order = Window.partitionBy("user_code").orderBy(F.desc("rating"), "item_code")
+    best = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    best = stage(best.select("user_code", "rank", "item_code", F.col("rating").cast("double").alias("score")), "unseen")
+    named = lookup(best, coded.items, "item_code", "inner").join(coded.users, "user_code")
+    return named.select("user_id", "rank", "item_id", "score")
+
+
+# Hash digits that decide whether a rating is held out.
+_SHARE_DIGITS = 8
+
+
+def split_holdout(ratings: DataFrame, share: float = 0.2, seed: str = "holdout") -> DataFrame:
+    """``user_id, item_id, rating, held``: about ``share`` of the user-item cells are held out for testing.
+
+    A cell's place is the md5 of its keys and the seed, so the split is the same on every run and all ratings of a
+    cell go one way. The cell with the least hash of every user and of every item stays in training, so that
+    nothing is tested that the model has never seen. Ratings with a missing field are left out.
+    """
+    rows = ratings.select("user_id", "item_id", F.col("rating").cast("double").alias("rating")).dropna()
+    key = F.concat_ws("|", F.col("user_id").cast("string"), F.col("item_id").cast("string"), F.lit(seed))
+    rows = stage(rows.withColumn("_mark", F.md5(key.cast("binary"))), "marked")
+    firsts = [rows.groupBy(side).agg(F.min("_mark").alias("_mark")).select("_mark") for side in ("user_id", "item_id")]
+    kept = firsts[0].union(firsts[1]).distinct().withColumn("_first", F.lit(True))
+    edge = f"{min(int(share * 16**_SHARE_DIGITS), 16**_SHARE_DIGITS - 1):0{_SHARE_DIGITS}x}"
+    drawn = F.substring("_mark", 1, _SHARE_DIGITS) < edge
+    return rows.join(kept, "_mark", "left").select(
+        "user_id", "item_id", "rating", (drawn & F.col("_first").isNull()).alias("held")
+    )
+
+
+def evaluate_holdout(ratings: DataFrame, n: int = TOP, share: float = 0.2, seed: str = "holdout", **settings) -> DataFrame:
+    """One row of errors and ranking metrics of a model fitted without the held-out ratings.
+
+    ``mse`` is the error on them, ``mean_mse`` that of the training ratings' mean. ``precision``, ``recall`` and ``ndcg`` compare
+    the ``n`` best items a user has not rated in training with the held-out ones, over users that have some.
+    """
+    split = stage(split_holdout(ratings, share, seed), "split")
+    coded = code_ratings(split.where("not held").drop("held"))
+    model = fit(coded, **settings)
+    held = encode(stage(split.where("held"), "held"), coded.users, "user_id")
+    held = lookup(held, coded.items, "item_id", "inner", costly=True)
+    held = held.withColumns({c: F.col(c).cast("int") for c in ("user_code", "item_code")})
+    held = stage(model.transform(held).select("user_id", "item_code", "rating", "prediction"), "tested")
+    mean = coded.ratings.agg(F.avg("rating")).first()[0]
+    error = held.agg(
+        F.count("*").alias("held"),
+        F.avg(F.pow(F.col("rating") - F.col("prediction"), F.lit(2))).alias("mse"),
+        F.avg(F.pow(F.col("rating") - F.lit(mean), F.lit(2))).alias("mean_mse"),
+    )
+    best = lookup(recommend_unseen(model, coded, n, held), coded.items, "item_id", "inner", costly=True)
+    code = F.col("item_code").cast("double")
+    lists = best.groupBy("user_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", code.alias("code")))), lambda x: x["code"]).alias("prediction")
+    )
+    truth = held.groupBy("user_id").agg(F.collect_set(code).alias("label"))
+    both = stage(truth.join(lists, "user_id"), "rankings")
+    ranking = {
+        name: RankingEvaluator(predictionCol="prediction", labelCol="label", metricName=metric, k=n).evaluate(both)
+        for name, metric in (("precision", "precisionAtK"), ("recall", "recallAtK"), ("ndcg", "ndcgAtK"))
+    }
+    return error.withColumns({name: F.lit(value) for name, value in ranking.items()})
+
+
+RANGE_DONE = StructType(
+    [StructField(c, LongType()) for c in ("range", "first", "last", "top", "rows")]
+)
+
+
+def recommend_in_ranges(
+    model: ALSModel,
+    coded: CodedRatings,
+    folder: str,
+    n: int = TOP,
+    users_per_range: int = 1_000_000,
+    most: int | None = None,
+) -> DataFrame:
+    """As :func:`recommend_all_users`, range by range of user codes, with what is done kept in ``folder``.
+
+    A range is written and then entered in the manifest; a run that stopped goes on with the ranges that are not
+    there, at most ``most`` of them. Returns the rows of the ranges done so far. A manifest of other ranges or another ``n``
+    is refused, and so the folder belongs to one model.
+    """
+    spark = coded.ratings.sparkSession
+    users = coded.users.count()
+    done = {row["range"]: row for row in _ranges_done(spark, folder).collect()}  # a row per range
+    left = [at for at in range(-(-users // users_per_range)) if at not in done]
+    for at in range(-(-users // users_per_range)):
+        first, last = at * users_per_range, min(users, (at + 1) * users_per_range) - 1
+        if at in done:
+            if (done[at]["first"], done[at]["last"], done[at]["top"]) != (first, last, n):
+                raise ValueError(f"{folder} holds recommendations of other ranges or another number")
+            continue
+        if most is not None and left.index(at) >= most:
+            continue
+        codes = coded.users.where(F.col("user_code").between(first, last)).select(F.col("user_code").cast("int").alias("user_code"))
+        path = f"{folder}/rows/at={at}"
+        _ranked(model.recommendForUserSubset(codes, n), coded).write.mode("overwrite").parquet(path)
+        rows = spark.read.parquet(path).count()
+        entry = spark.createDataFrame([(at, first, last, n, rows)], RANGE_DONE)
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{folder}/done/at={at}")  # one file: there or not
+    paths = [f"{folder}/rows/at={row['range']}" for row in _ranges_done(spark, folder).collect()]
+    return spark.read.parquet(*paths) if paths else _ranked(model.recommendForAllUsers(n), coded).limit(0)
+
+
+def _ranges_done(spark, folder: str) -> DataFrame:
+    try:
+        return spark.read.schema(RANGE_DONE).parquet(f"{folder}/done")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RANGE_DONE)
+
+
 def history_of(ratings: DataFrame, wanted: DataFrame) -> DataFrame:
     """Distinct items rated by the ``user_id`` of ``wanted``.
 
-    The rows are reduced to one per user and item before they meet the wanted users.
+    Few wanted users filter the rows where they are read. Many meet them after the rows have been reduced to one per user
+    and item, which are stored, since a join that looks for busy users reads them twice.
     """
-    pairs = ratings.select("user_id", "item_id").distinct()
+    pairs = ratings.select("user_id", "item_id")
     users = wanted.select("user_id").distinct()
     if fits_broadcast(users):
-        return pairs.join(F.broadcast(users), "user_id", "left_semi")
-    return skewed_join(pairs, users, "user_id")
+        return pairs.join(F.broadcast(users), "user_id", "left_semi").distinct()
+    return skewed_join(stage(pairs.distinct(), "pairs"), users, "user_id")
 
 
 def titles_in(titles: DataFrame, items: DataFrame) -> DataFrame:

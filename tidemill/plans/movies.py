@@ -9,13 +9,14 @@ from tidemill.functions.ids import dense_ids
 from tidemill.operators import als
 from tidemill.operators.traffic import column_stats
 from tidemill.sinks.text import write_sorted_text
-from tidemill.sources.text import parse_movies, parse_ratings, read_lines
+from tidemill.sources.text import parse_movies, parse_ratings, read_lines, read_ordered_lines
 
 
 def load_movies(spark: SparkSession, ratings_path: str, movies_path: str) -> tuple[DataFrame, DataFrame]:
     """Ratings ``(user_id, item_id, rating)`` and titles ``(item_id, title)``."""
     ratings = parse_ratings(read_lines(spark, ratings_path)).withColumnRenamed("movie_id", "item_id")
-    titles = parse_movies(read_lines(spark, movies_path)).withColumnRenamed("movie_id", "item_id")
+    lines = read_ordered_lines(spark, movies_path)  # of two lines with the same id the last one counts
+    titles = parse_movies(lines, order="line_order").withColumnRenamed("movie_id", "item_id")
     return ratings, titles
 
 

@@ -16,14 +16,13 @@ from tidemill.operators.traffic import pv_ip_uv
 from tidemill.sinks.batches import batch_writer, increment_writer
 from tidemill.sinks.text import cached
 from tidemill.sources.streams import parse_clicks
-from tidemill.sources.text import parse_access_log, parse_search
+from tidemill.sources.text import parse_search, parse_timed_log
 from tidemill.streaming.run import start
 from tidemill.streaming.windows import hottest, item_windows, traffic_windows
 
 
 def _log_rows(messages: DataFrame) -> DataFrame:
-    lines = messages.select(F.col("value").alias("line"))
-    return parse_access_log(lines).withColumn("ts", F.col("log_time").try_cast("timestamp"))
+    return parse_timed_log(messages.select(F.col("value").alias("line")))
 
 
 def traffic_per_batch(

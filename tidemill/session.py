@@ -66,3 +66,9 @@ def stage(df: DataFrame, label: str, together: str | None = None) -> DataFrame:
     rows = df.hint("rebalance", together) if together else df
     rows.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark writes to; nothing happens where there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

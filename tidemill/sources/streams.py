@@ -78,19 +78,21 @@ def replay_stream(
     return reader.parquet(folder)
 
 
-def parse_clicks(messages: DataFrame, column: str = "value") -> DataFrame:
+def parse_clicks(messages: DataFrame, column: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Click events of JSON messages, with ``valid`` telling whether uid and count are there.
 
     Broken JSON, a missing key, a count that is no number or fits no bigint makes a row invalid, not the
     batch. Counts are read as text, so large ones keep all digits; fractions are cut off. A time outside the years 1
-    to 9999 reads as NULL.
+    to 9999 reads as NULL. Columns named in ``keep`` pass through.
     """
+    keep = keep or []
     # Taking the fields with inline reads each message once, however often they are used below.
     count = F.col("click_count").try_cast("decimal(38,6)").try_cast("bigint")
     millis = F.col("event_time").try_cast("bigint")
     click = F.inline(F.array(F.from_json(column, schemas.CLICK_JSON)))
-    return messages.select(F.col(column).alias("raw"), click).select(
+    return messages.select(F.col(column).alias("raw"), *keep, click).select(
         "raw",
+        *keep,
         "uid",
         F.timestamp_millis(F.when(millis.between(*_MILLIS), millis)).alias("event_time"),
         "os_type",

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tidemill import schemas
+from tidemill.operators.rejects import REJECTS, accepted
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -21,6 +22,21 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def read_ordered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with their place ``line_order`` among all lines of the files: file name, block of the file, place in the block.
+
+    Values compare as the lines follow each other when the files are read by name; nothing is sorted for it. They
+    say nothing about how many lines are between two.
+    """
+    lines = spark.read.text(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),  # ascends inside a block, which one task reads
+    )
+    return lines.select(F.col("value").alias("line"), place.alias("line_order"))
+
+
 def read_delimited(
     spark: SparkSession, path: str | list[str], schema: StructType, sep: str = " "
 ) -> DataFrame:
@@ -113,9 +129,15 @@ def parse_access_log(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_search(lines: DataFrame) -> DataFrame:
-    """``name item`` lines; lines without an item are dropped."""
-    return parse_fields(lines, schemas.SEARCH, " ").where(F.col("item").isNotNull())
+def parse_timed_log(lines: DataFrame, observation: Observation | str = REJECTS) -> DataFrame:
+    """:func:`parse_access_log` with the log time as ``ts``; lines without a readable time are counted and left out."""
+    rows = parse_access_log(lines).withColumn("ts", F.col("log_time").try_cast("timestamp"))
+    return accepted(rows, F.col("ts").isNotNull(), observation)
+
+
+def parse_search(lines: DataFrame, observation: Observation | str = REJECTS) -> DataFrame:
+    """``name item`` lines; lines without an item are counted and left out."""
+    return accepted(parse_fields(lines, schemas.SEARCH, " "), F.col("item").isNotNull(), observation)
 
 
 def parse_ratings(lines: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ def start(
     mode: str = "append",
     every: str | None = None,
     partitions: int | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start a stream into a batch writer.
 
@@ -25,19 +26,20 @@ def start(
 
     ``partitions`` is the number of parts the stream's state is kept in. It is fixed by the first
     start and each part costs a little in every batch, so a stream may want another number than
-    the session's batch queries: by default one per core.
+    the session's batch queries: by default one per core. Listeners know the query by its ``name``.
     """
     spark = stream.sparkSession
     session_partitions = spark.conf.get(PARTITIONS)
     spark.conf.set(PARTITIONS, str(partitions or spark.sparkContext.defaultParallelism))
     try:
-        return _started(stream, checkpoint, writer, mode, every)
+        return _started(stream, checkpoint, writer, mode, every, name)
     finally:
         spark.conf.set(PARTITIONS, session_partitions)  # the running stream keeps its own copy
 
 
-def _started(stream, checkpoint, writer, mode, every) -> StreamingQuery:
+def _started(stream, checkpoint, writer, mode, every, name) -> StreamingQuery:
     out = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    out = out.queryName(name) if name else out
     out = out.trigger(processingTime=every) if every else out.trigger(availableNow=True)
     return out.foreachBatch(writer).start()
 
