@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemill import schemas
 from tidemill.catalog.batch import text_in_order
-from tidemill.session import new_folder, shared_root, stage
+from tidemill.session import new_folder, scratch, shared_root, stage
 from tidemill.sinks import batches
 from tidemill.sinks.keyed_table import KeyedTable
 from tidemill.sinks.text import cached, write_sorted_text
@@ -178,3 +178,21 @@ def test_keyed_table_as_the_sink_of_a_stream(spark, tmp_path):
     write(batch(spark, ("u1", 5), ("u2", 1)), 0)
     write(batch(spark, ("u1", 7)), 1)
     assert read(table) == {"u1": 12, "u2": 1}
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    def there(df):
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+        return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+    with scratch(spark):
+        with scratch(spark):
+            inner = stage(spark.range(3), "inner")
+            kept = stage(inner, "kept", keep=True)
+            files = there(inner)
+        assert files and not there(inner) and there(kept) and kept.count() == 3
+    assert not there(kept)
+    outside = stage(spark.range(2), "outside")
+    with scratch(spark):
+        final = stage(outside, "final", keep=True)
+    assert there(outside) and there(final)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,14 +58,38 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidemill/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, together: str | None = None) -> DataFrame:
+# Lists of the tables staged in the scopes that are open, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block at its end, but for those staged to ``keep``.
+
+    What the block hands out must not read them any more: it is staged itself, or a number.
+    """
+    own: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), own))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for path in own:
+            remove(spark, path)
+
+
+def stage(df: DataFrame, label: str, together: str | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Used where one costly result feeds several branches: it is computed once, survives the loss
     of executors, and gives the later joins true sizes to plan with. Rows with equal values of the
-    column ``together`` go to the same file, unless they are too many for one.
+    column ``together`` go to the same file, unless they are too many for one. Inside
+    :func:`scratch` the table goes when the block ends; with ``keep`` it belongs to the block around that.
     """
     path = new_folder(df.sparkSession, label)
+    scopes = _SCOPES.get()[: -1 if keep else None]
+    if scopes:
+        scopes[-1].append(path)
     rows = df.hint("rebalance", together) if together else df
     rows.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
