@@ -88,3 +88,54 @@ def test_page_without_article():
     menu = "".join(f"<div><a href=/{i}>link</a></div>" for i in range(12))
     found = extract.main_text(f"<html><body><div>{menu}</div><div>{body}<p>short</p></div></body></html>")
     assert found.split("\n") == [f"{'word ' * 40}{i}" for i in range(6)] + ["short"]
+
+
+LONG = "A sentence of the article with quite a number of words in it, as articles have them."
+ARTICLE = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG} Again.</p></article>"
+TEXT = f"Title\n{LONG}\n{LONG} Again."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="layout has-sidebar">{ARTICLE}</div>',
+        f'<form id="aspnetForm"><div>{ARTICLE}</div></form>',
+        f"<p>x<noscript>{ARTICLE}",
+        f'<noscript><img src=x>Enable scripts.</noscript><div class="page-header">Site</div>{ARTICLE}',
+        ARTICLE.replace("<h1>", '<div class="post-header"><h1>').replace("</h1>", "</h1></div>"),
+        ARTICLE.replace("<h1>", '<h1 class="section-header" id="notice">'),
+        ARTICLE.replace("<p>", '<p id="related-work">', 1),
+        ARTICLE.replace("<p>", '<p class="dialog">', 1),
+        f"{ARTICLE}<section><h2>3 Comments</h2>" + f"<article><p>{LONG * 3} I think.</p></article>" * 4 + "</section>",
+        f"<main>{ARTICLE[9:-10]}</main><section><h2>Comments</h2><article><p>Nice!</p></article></section>",
+        ARTICLE.replace("</article>", f'<div class="comments"><p>{LONG * 9}</p></div></article>'),
+        ARTICLE.replace(LONG, LONG.replace(" of", '<span class="ad">Buy <span>now</span> cheap</span> of'), 1),
+        ARTICLE.replace(LONG, LONG.replace(" of", "<svg><text>no</text></svg> of"), 1),
+        ARTICLE.replace(LONG, LONG.replace(" of", "<noscript>no <b>script</b></noscript> of"), 1),
+        f'<nav class="menu"><a href=/>Home</a></nav>{ARTICLE}<footer>(c)</footer><div class="newsletter">Subscribe!</div>',
+        f'{ARTICLE}<div hidden><p>{LONG * 5}</p></div>',
+        f"<div>{ARTICLE[9:-10]}</div><div><a href=/1>One</a> <a href=/2>Two</a></div><div>© 2024 All rights reserved.</div>",
+        f"<div><h1>Title</h1><p>{LONG}</p></div><div><p>{LONG} Again.</p></div>",
+    ],
+)
+def test_main_text_of_other_markup(page):
+    assert extract.main_text(f"<html><head><title>t</title></head><body>{page}</body></html>") == TEXT
+
+
+def test_formulas_quotes_and_short_ends_stay():
+    page = f"<div><p>{LONG}</p><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></div>"
+    assert extract.main_text(page) == f"{LONG}\nSo x=1 holds."
+    page = ARTICLE.replace("</article>", '<blockquote class="reply">He said so.</blockquote></article>')
+    assert extract.main_text(page) == f"{TEXT}\nHe said so."
+    page = f"<div><div><h1>Title</h1><p>{LONG}</p><p>{LONG} Again.</p></div><div><p>The end.</p></div></div>"
+    assert extract.main_text(page) == f"{TEXT}\nThe end."
+
+
+def test_pages_with_very_many_elements_take_linear_time():
+    import time
+
+    body = "".join(f'<div class="menu ad"><a href=/{i}>link {i}</a></div><p>{LONG} {i}</p>' for i in range(4_000))
+    begin = time.perf_counter()
+    text = extract.main_text(f"<body><article>{body}</article></body>")
+    assert text.count("\n") == 3_999 and time.perf_counter() - begin < 20
+    assert extract.main_text("<div>" * 3_000 + "deep") == "deep"
