@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -71,6 +72,7 @@ def main(folder: str, names: list[str]) -> int:
 
     spark = build_session(
         "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tidemill-"),
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

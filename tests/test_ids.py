@@ -2,7 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemill.functions.fields import ranked_titles
-from tidemill.functions.ids import decode, dense_ids, encode
+from tidemill.functions.ids import bucket_digits, decode, dense_ids, encode
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -33,3 +33,9 @@ def test_ranked_titles(spark, rows):
     )
     text = df.groupBy("user").agg(ranked_titles("rank", "item", "title").alias("t"))
     assert rows(text) == [("u", "9:T,x,7:,8:last"), ("v", "7:")]
+
+
+def test_numbers_do_not_hang_on_the_buckets(spark, rows):
+    df = spark.range(3_000).selectExpr("concat('k', id) AS k")
+    assert rows(dense_ids(df, "k")) == rows(dense_ids(df, "k", per_bucket=0.01))
+    assert [bucket_digits(n) for n in (0, 10**9, 10**10, 10**12)] == [3, 3, 4, 6]

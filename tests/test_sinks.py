@@ -196,3 +196,17 @@ def test_staged_tables_go_with_their_scope(spark):
     with scratch(spark):
         final = stage(outside, "final", keep=True)
     assert there(outside) and there(final)
+
+
+def test_compaction_removes_what_an_earlier_one_has_folded(spark, tmp_path):
+    folder = str(tmp_path)
+    write = batches.increment_writer(folder, "uid", "click_count")
+    for n in range(6):
+        write(batch(spark, ("u1", 1), (f"u{n}", 10)), n)
+        if n % 2:
+            batches.compact_totals(spark, folder, schemas.COUNTS)
+            assert totals(spark, folder)["u1"] == n + 1 + 10
+    assert sorted(p.name for p in (tmp_path / "batches").iterdir()) == ["batch_id=4", "batch_id=5"]
+    assert sorted(p.name for p in (tmp_path / "compacted").iterdir()) == ["upto=3", "upto=5"]
+    write(batch(spark, ("u9", 9)), 6)
+    assert totals(spark, folder) == {"u1": 16, "u0": 10, "u2": 10, "u3": 10, "u4": 10, "u5": 10, "u9": 9}

@@ -1,47 +1,40 @@
-"""``python -m tidemill JOB PATH...``: run a batch job and show its results."""
+"""``python -m tidemill JOB ...``: run a batch job or a stream (see :mod:`tidemill.jobs`)."""
 
 from __future__ import annotations
 
 import sys
 
-from tidemill.plans import item_cf, movies, reports
+from tidemill import jobs
 from tidemill.session import build_session
 
 
-def movie_profile(spark, ratings_path, movies_path):
-    ratings, titles = movies.load_movies(spark, ratings_path, movies_path)
-    return {**movies.profile(ratings), "titles": titles}
-
-
-def movie_grid(spark, ratings_path, movies_path):
-    ratings, _ = movies.load_movies(spark, ratings_path, movies_path)
-    return {"errors": movies.evaluate(ratings)}
-
-
-def movie_recommendations(spark, ratings_path, movies_path, base):
-    ratings, titles = movies.load_movies(spark, ratings_path, movies_path)
-    return {"recommendations": movies.recommend(ratings, titles, base)}
-
-
-JOBS = {
-    "people": reports.people_from_text,
-    "purchases": reports.purchases_from_text,
-    "houses": reports.houses_from_text,
-    "item-cf": item_cf.item_cf_from_text,
-    "movie-profile": movie_profile,
-    "movie-grid": movie_grid,
-    "movie-recommendations": movie_recommendations,
-}
+def _options(arguments: list[str]) -> tuple[list[str], str | None, bool]:
+    """Plain arguments, the folder after ``--out``, and whether ``--once`` was given."""
+    plain, out, once = [], None, False
+    rest = iter(arguments)
+    for argument in rest:
+        if argument == "--out":
+            out = next(rest, None)
+        elif argument == "--once":
+            once = True
+        else:
+            plain.append(argument)
+    return plain, out, once
 
 
 def main(arguments: list[str]) -> int:
-    if not arguments or arguments[0] not in JOBS:
-        print(f"usage: python -m tidemill {{{'|'.join(JOBS)}}} PATH...", file=sys.stderr)
+    plain, out, once = _options(arguments)
+    name = plain.pop(0) if plain else ""
+    batch, stream = jobs.BATCHES.get(name), jobs.STREAMS.get(name)
+    right = batch and (len(plain) >= len(batch.paths) if batch.more else len(plain) == len(batch.paths))
+    if not right and not (stream and len(plain) == 3):
+        print(jobs.usage(), file=sys.stderr)
         return 2
-    spark = build_session(f"tidemill {arguments[0]}")
-    for name, result in JOBS[arguments[0]](spark, *arguments[1:]).items():
-        print(name)
-        result.show(50, truncate=False)
+    spark = build_session(f"tidemill {name}")
+    if batch:
+        jobs.run_batch(spark, name, plain, out)
+    else:
+        jobs.start_stream(spark, name, plain, once).awaitTermination()
     return 0
 
 

@@ -266,3 +266,19 @@ def als_recommend_ranges(spark, folder):
     titles = brand_titles(spark, folder)
     checked = _title_checks(als.as_text_rows(rows, titles), titles)
     return checked.select("user_id", F.col("entries").cast("int").alias("entries"), "titles_right")
+
+
+@query(
+    f"""
+SELECT count(*) AS rated, count(DISTINCT user_id) * count(DISTINCT item_id) - count(*) AS unrated, true AS rated_higher
+FROM {_RATINGS}"""
+)
+def als_implicit_order(spark, folder):
+    """The implicit fit prefers, on average, what a user has rated to what not."""
+    coded = als.code_ratings(ratings(spark, folder))
+    model = als.fit(coded, rank=10, reg=0.01, implicit=True)
+    every = als.recommend_all_users(model, coded, coded.items.count())
+    marked = every.join(coded.ratings.select("user_id", "item_id", F.lit(True).alias("known")), ["user_id", "item_id"], "left")
+    is_rated = F.col("known").isNotNull()
+    higher = F.avg(F.when(is_rated, F.col("score"))) > F.avg(F.when(~is_rated, F.col("score")))
+    return marked.agg(F.count_if(is_rated).alias("rated"), F.count_if(~is_rated).alias("unrated"), higher.alias("rated_higher"))

@@ -20,7 +20,7 @@ from tidemill.functions.fields import ranked_titles
 from tidemill.operators.ranking import top_per_key
 from tidemill.operators.scoring import recommend_all as all_unseen
 from tidemill.operators.scoring import recommend_top, user_items, without_held
-from tidemill.operators.similarity import item_similarity, pair_counts, rating_cells
+from tidemill.operators.similarity import item_similarity, nearest, pair_counts, rating_cells
 from tidemill.operators.skew import lookup, skewed_join
 from tidemill.plans.item_cf import similarities_and_recommendations
 from tidemill.session import stage
@@ -229,3 +229,20 @@ def preference_cells(spark, folder):
     return cells.withColumn("mean", F.round("mean", DIGITS)).withColumn(
         "spread", F.round("spread", DIGITS)
     )
+
+
+@query(
+    f"""{_PARTS},
+near AS (
+  SELECT * FROM (
+    SELECT item_id1, item_id2, c.similar,
+           row_number() OVER (PARTITION BY item_id1 ORDER BY CAST(printf('%.11e', c.similar) AS DOUBLE) DESC, item_id2) AS place
+    FROM cooccurrence c) WHERE place <= 10),
+{_SCORES.replace("cooccurrence", "near")}
+SELECT user_id, item_id, round(pref, 6) AS pref, rank FROM ranked WHERE rank <= 5"""
+)
+def recommend_topn_parts(spark, folder):
+    """Recommendations from a catalog that grows with the tables: scores over the ten nearest parts of each held part."""
+    prefs = stage(part_prefs(spark, folder), "prefs")
+    near = stage(nearest(item_similarity(prefs), 10), "nearest")
+    return _scored(recommend_top(near, prefs, 5))

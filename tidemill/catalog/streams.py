@@ -294,3 +294,21 @@ def click_rejects(spark, folder):
     running.awaitTermination()
     counts = counted_in_stream(running)
     return spark.createDataFrame(sorted(counts.items()), "outcome string, n bigint")
+
+
+@query(
+    """
+SELECT CAST(CASE WHEN event_type IN ('click', 'view') THEN 0 WHEN event_type = 'error' THEN 1 ELSE 2 END AS BIGINT) AS batch_id,
+       count(*) AS pv, count(DISTINCT event_type) AS ips, count(DISTINCT user_id) AS uv
+FROM events GROUP BY 1"""
+)
+def stream_report_batches(spark, folder):
+    """A report of each of three micro-batches: one delivery each, whatever its event times."""
+    (out, checkpoint), inbox = _folders(spark, "reports"), new_folder(spark, "inbox")
+    events = table(spark, folder, "events")
+    first, second = F.col("event_type").isin("click", "view"), F.col("event_type") == "error"
+    for delivery in (events.where(first), events.where(second), events.where(~first & ~second)):
+        delivery.write.mode("append").parquet(inbox)
+        run_to_end(_log(replay_stream(spark, inbox, events.schema)), checkpoint, batch_writer(out, pv_ip_uv))
+    schema = pv_ip_uv(_log(events)).schema
+    return read_batches(spark, out, schema).select("batch_id", "pv", "ips", "uv")

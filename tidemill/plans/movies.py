@@ -42,6 +42,11 @@ def evaluate(ratings: DataFrame) -> DataFrame:
     return als.grid(als.code_ratings(ratings))
 
 
+def evaluate_held_out(ratings: DataFrame, **settings) -> DataFrame:
+    """Errors and ranking metrics on ratings that the fit has not seen."""
+    return als.evaluate_holdout(ratings, **settings)
+
+
 def recommend(ratings: DataFrame, titles: DataFrame, base: str, **settings) -> DataFrame:
     """Fit, save the model, write every user's recommendations as sorted text, and return them."""
     coded = als.code_ratings(ratings)

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemill.session import remove
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 COMMITS = StructType([StructField("upto", LongType())])
@@ -51,9 +54,9 @@ def _compacted_upto(spark: SparkSession, folder: str) -> int:
     try:
         commits = spark.read.schema(COMMITS).parquet(f"{folder}/commits")
         return commits.agg(F.max("upto")).first()[0]
-    except Exception as error:  # nothing has been compacted yet
-        if "PATH_NOT_FOUND" in str(error):
-            return -1
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return -1  # nothing has been compacted yet
         raise
 
 
@@ -75,7 +78,8 @@ def compact_totals(spark: SparkSession, folder: str, schema: StructType) -> int:
     """Fold the batches so far into one table; returns the last batch in it.
 
     Run it between runs of the stream. The table counts from when its number is committed, after
-    it is complete, so a failure half-way changes nothing.
+    it is complete, so a failure half-way changes nothing. Batches and tables that the compaction before this
+    one has made needless are deleted; what this one folds stays for who may be reading it.
     """
     done = _compacted_upto(spark, folder)
     rows = _increments(spark, folder, schema)
@@ -87,4 +91,10 @@ def compact_totals(spark: SparkSession, folder: str, schema: StructType) -> int:
     spark.createDataFrame([(upto,)], COMMITS).coalesce(1).write.mode("append").parquet(
         f"{folder}/commits"
     )
+    old = read_batches(spark, f"{folder}/batches", schema).where(F.col("batch_id") <= done)
+    for row in old.select("batch_id").distinct().collect():
+        remove(spark, f"{folder}/batches/batch_id={row['batch_id']}")
+    earlier = spark.read.schema(COMMITS).parquet(f"{folder}/commits").where(F.col("upto") < done)
+    for row in earlier.distinct().collect():
+        remove(spark, f"{folder}/compacted/upto={row['upto']}")
     return upto

@@ -35,7 +35,7 @@ _EPOCH = StructType([StructField("epoch", LongType())])
 
 def file_place(stream: DataFrame) -> DataFrame:
     """Add ``source`` and ``position`` to the rows of a file stream: files are read whole, so all have position 0."""
-    return stream.select("*", F.col("_metadata.file_path").alias("source"), F.lit(0).cast("bigint").alias("position"))
+    return stream.select("*", F.input_file_name().alias("source"), F.lit(0).cast("bigint").alias("position"))
 
 
 def kafka_place(stream: DataFrame) -> DataFrame:

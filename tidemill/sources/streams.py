@@ -57,11 +57,12 @@ def socket_stream(spark: SparkSession, host: str, port: int = 9999) -> DataFrame
 
 
 def text_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Lines of the text files that appear in ``folder``."""
+    """Lines of the text files that appear in ``folder``, with the time their file was last written as ``timestamp``."""
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    written = F.col("_metadata.file_modification_time").alias("timestamp")
+    return reader.load(folder).select("value", written)
 
 
 def replay_stream(
