@@ -309,3 +309,54 @@ def test_pipeline_stages_keep_the_columns(spark, clashing, small):
         assert done.columns == clashing.columns, name
         rows = stage(done, name)
     assert corpus_pipeline.STAGES[-1][1](spark, rows, small).count() >= 0
+
+
+def test_long_texts_in_parts_give_the_same(spark, monkeypatch):
+    """Texts far longer than a part, one with a word longer than it, against the plain way."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemill.llm import kernels
+
+    texts = [prose(5, 3_000), prose(6, 700) + " " + "x" * 5_000 + " " + prose(7, 500), "y" * 9_000, "a  b\n" * 2_000, "z " * 3_000]
+    plain_ids = [bpe.encode(pa.array([t]))[0] for t in texts]
+    plain_sets = [next(kernels.shingle_sets(pa.array([t]), 5)) for t in texts]
+    monkeypatch.setattr(kernels, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 300)
+    for text, ids, shingles in zip(texts, plain_ids, plain_sets):
+        column = pa.array([text])
+        assert len(list(kernels.slices(column, 4))) > 3 or " " not in text
+        assert np.array_equal(bpe.encode(column)[0], ids)
+        assert np.array_equal(next(kernels.shingle_sets(column, 5)), shingles)
+
+
+def test_repeats_of_long_texts_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from tidemill.llm import kernels
+
+    text = prose(8, 2_000)
+    whole = debruijn._Edges(kernels.Words(pa.array([text])), 35)
+    edges = whole.hashes(0, 0, 2_000 - 34).tolist()
+    monkeypatch.setattr(kernels, "BLOCK_BYTES", 400)
+    batch = pa.RecordBatch.from_arrays([pa.array([text])], ["text"])
+    found, anchors = {}, set()
+    for part, first in debruijn._parts(batch, 35):
+        anchors |= set(part.anchor.tolist())
+        for start, count in zip(part.start.tolist(), part.edges.tolist()):
+            for i, edge in enumerate(part.hashes(0, start, count).tolist()):
+                assert first + start + i not in found
+                found[first + start + i] = edge
+    assert [found[i] for i in range(len(edges))] == edges and len(found) == len(edges)
+    assert anchors == set(whole.anchor.tolist())
+
+
+def test_stage_columns_of_any_name(awkward):
+    names = ["__d", "__t", "__spans", "__kept", "__n", "row", "a.b"]
+    docs = awkward.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    plain = awkward.columns
+    for stage_of in (debruijn.cleaned, minhash.one_of_each):
+        left = stage_of(docs)
+        assert left.columns == docs.columns
+        assert Counter(map(tuple, left.select(*plain).collect())) == Counter(map(tuple, stage_of(awkward).collect()))
+        assert {tuple(r) for r in left.select(*[f"`{n}`" for n in names]).collect()} == {tuple(range(len(names)))}

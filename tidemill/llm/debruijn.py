@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import kernels
-from tidemill.session import stage
+from tidemill.llm.graph import join_ids
+from tidemill.session import scratch, stage
 
 WINDOW = 35  # words of an edge of the graph
 ANCHOR = 16  # words of the anchors that stretches of edges are gathered by
-BROADCAST_ROWS, BROADCAST_ENTRIES = 200_000, 3_000_000
+# Most rows, entries of rows, and anchors that are broadcast; beyond, both sides of a join are shuffled.
+BROADCAST_ROWS, BROADCAST_ENTRIES, BROADCAST_ANCHORS = 200_000, 3_000_000, 2_000_000
 _AT_BITS = 24
 _DOC = ["__d", "__t"]
 
@@ -34,8 +36,7 @@ class _Edges:
     stretches with equal anchors wherever they stand.
     """
 
-    def __init__(self, column: pa.Array, size: int):
-        words = kernels.Words(column)
+    def __init__(self, words: kernels.Words, size: int):
         self.words, own = words, words.hashes()
         anchor = min(ANCHOR, size)
         parts = kernels.windows(own, anchor)
@@ -70,16 +71,34 @@ class _Edges:
         return kernels.mix(kernels.span_hash(self.sums, at, at + self.size, kernels.WORD_BASE), 22)
 
 
+def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[_Edges, int]]:
+    """Edges of a block, with the number of the first word; of a long text part by part, each edge in one part."""
+    for words, first in kernels.slices(batch.column("text"), size - 1):
+        yield _Edges(words, size), first
+
+
+def _anchors(size: int):
+    """Anchors of all stretches, with how often they stand in a part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in kernels.blocks(batches):
+            for found, _ in _parts(batch, size):
+                anchors, n = np.unique(found.anchor, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchors.view(np.int64)), pa.array(n, pa.int64())], ["anchor", "n"])
+
+    return run
+
+
 def _stretches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernels.blocks(batches):
-            found = _Edges(batch.column("text"), size)
-            keys = [batch.column(c).take(pa.array(found.doc, pa.int64())) for c in _DOC]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.anchor.view(np.int64)), pa.array(found.content.view(np.int64)), *keys,
-                 pa.array(found.start, pa.int64()), pa.array(found.edges.astype(np.int16))],
-                ["anchor", "content", *_DOC, "start", "edges"],
-            )
+            for found, first in _parts(batch, size):
+                keys = [batch.column(c).take(pa.array(found.doc, pa.int64())) for c in _DOC]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.anchor.view(np.int64)), pa.array(found.content.view(np.int64)), *keys,
+                     pa.array(first + found.start, pa.int64()), pa.array(found.edges.astype(np.int16))],
+                    ["anchor", "content", *_DOC, "start", "edges"],
+                )
 
     return run
 
@@ -89,15 +108,19 @@ def _edge_hashes(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernels.blocks(batches):
-            found = _Edges(batch.column("text"), size)
             out = {c: [] for c in ("anchor", "content", "weight", "at", "edge")}
-            for doc, chosen in enumerate(batch.column("chosen").to_pylist()):
-                for x in chosen:
-                    edges = found.hashes(doc, x["start"], x["edges"])
-                    out["edge"].append(edges.view(np.int64))
-                    out["at"].append(np.arange(len(edges), dtype=np.int16))
-                    for c in ("anchor", "content", "weight"):
-                        out[c].append(np.full(len(edges), x[c], np.int64))
+            wanted = batch.column("chosen").to_pylist()
+            for found, first in _parts(batch, size):
+                after = first + len(found.words.start) - size + 1  # of the part's edges; a block has one part
+                for doc, chosen in enumerate(wanted):
+                    for x in chosen:
+                        if batch.num_rows == 1 and not first <= x["start"] < after:
+                            continue
+                        edges = found.hashes(doc, x["start"] - first, x["edges"])
+                        out["edge"].append(edges.view(np.int64))
+                        out["at"].append(np.arange(len(edges), dtype=np.int16))
+                        for c in ("anchor", "content", "weight"):
+                            out[c].append(np.full(len(edges), x[c], np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)).cast(pa.int16() if c == "at" else pa.int64())
                  for c, v in out.items()], list(out),
@@ -118,11 +141,14 @@ def join_by_document(docs: DataFrame, info: DataFrame, how: str, limit: int) ->
     return docs.join(F.broadcast(info) if few else info.hint("shuffle_merge"), _DOC, how)
 
 
-def repeated_paths(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
+def repeated_paths(
+    docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS, anchors: int = BROADCAST_ANCHORS
+) -> DataFrame:
     """Repeated spans ``__d, __t, start, words, path`` of keyed documents, compacted to paths.
 
     1. Every text is cut into stretches of edges that share an anchor. Stretches whose anchor stands once
-       in the corpus hold no repeated edge.
+       in the corpus hold no repeated edge: a first pass over the texts counts anchors only, a second one keeps
+       the stretches of those that repeat, where the texts are read while the repeated anchors can be broadcast.
     2. Equal stretches are counted once with their number. Where an anchor has one stretch only, all its
        edges are repeated as often; where it has several, their edges are counted singly and the
        stretch is cut where the count changes, which is where paths branch.
@@ -135,16 +161,16 @@ def repeated_paths(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_R
     """
     kinds = "anchor bigint, content bigint, __d bigint, __t bigint, start bigint, edges smallint"
     texts = docs.select(*_DOC, "text")
-    rows = stage(texts.mapInArrow(_stretches(size), kinds), "stretches")
-    often = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    rows = stage(rows.join(often, "anchor"), "repeated")
+    counted = texts.select("text").mapInArrow(_anchors(size), "anchor bigint, n bigint")
+    often = stage(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "often")
+    rows = stage(join_ids(texts.mapInArrow(_stretches(size), kinds), often, ["anchor"], anchors), "repeated")
 
     kinds_of = rows.groupBy("anchor", "content").agg(
         F.count("*").alias("weight"), F.min(F.struct(*_DOC, "start", "edges")).alias("where")
     )
     kinds_of = stage(kinds_of, "kinds")
-    mixed = kinds_of.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    chosen = kinds_of.join(mixed, "anchor").select(
+    mixed = stage(kinds_of.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "mixed")
+    chosen = join_ids(kinds_of, mixed, ["anchor"], anchors).select(
         *[F.col(f"where.{c}").alias(c) for c in _DOC],
         F.struct("anchor", "content", "weight", "where.start", "where.edges").alias("x"),
     )
@@ -225,19 +251,22 @@ def _compact(pieces: DataFrame, size: int) -> DataFrame:
 def _kept_text(rows_out):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernels.blocks(batches):
-            words = kernels.Words(batch.column("text"))
-            data, spans = words.data.tobytes(), batch.column("__spans").to_pylist()
-            kept, total, removed = [], [], []
-            for doc, own in enumerate(spans):
-                first, count = words.first[doc], words.first[doc + 1] - words.first[doc]
-                gone = np.zeros(count, bool)
-                for x in own or ():
-                    gone[x["start"] : x["start"] + x["words"]] = True
-                at = first + np.flatnonzero(~gone)
-                kept.append(b" ".join(data[s:e] for s, e in zip(words.start[at].tolist(), words.end[at].tolist())))
-                total.append(count)
-                removed.append(int(gone.sum()))
-            yield rows_out(batch, kept, total, removed)
+            spans = batch.column("__spans").to_pylist()
+            kept: list[list[bytes]] = [[] for _ in spans]
+            total, removed = np.zeros(len(spans), np.int64), np.zeros(len(spans), np.int64)
+            for words, before in kernels.slices(batch.column("text"), 0):
+                data = words.data.tobytes()
+                for doc, own in enumerate(spans):
+                    first, count = words.first[doc], words.first[doc + 1] - words.first[doc]
+                    gone = np.zeros(count, bool)
+                    for x in own or ():
+                        gone[max(0, x["start"] - before) : max(0, x["start"] + x["words"] - before)] = True
+                    at = first + np.flatnonzero(~gone)
+                    if len(at):
+                        kept[doc].append(b" ".join([data[s:e] for s, e in zip(words.start[at].tolist(), words.end[at].tolist())]))
+                    total[doc] += count
+                    removed[doc] += gone.sum()
+            yield rows_out(batch, [b" ".join(own) for own in kept], total.tolist(), removed.tolist())
 
     return run
 
@@ -250,22 +279,41 @@ def _digest(batch, kept, total, removed):
     )
 
 
-def _texts(batch, kept, total, removed):
-    own = batch.column("text").to_pylist()
-    texts = [k.decode() if gone else text for k, gone, text in zip(kept, removed, own)]
-    columns = [
-        pa.array(texts, batch.schema.field("text").type) if name == "text" else batch.column(name)
-        for name in batch.schema.names
-        if name != "__spans"
-    ]
-    return pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "__spans"])
+def _texts(columns: list[str]):
+    """The rows again as they were but for their texts, from the texts and a struct of the other columns."""
+
+    def out(batch, kept, total, removed):
+        own = batch.column("text").to_pylist()
+        texts = pa.array([k.decode() if gone else text for k, gone, text in zip(kept, removed, own)], batch.schema.field("text").type)
+        others = iter(batch.column("row").flatten())
+        return pa.RecordBatch.from_arrays([texts if c == "text" else next(others) for c in columns], columns)
+
+    return out
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans with those joined that overlap or touch."""
+
+    def add(found: Column, x: Column) -> Column:
+        last = F.element_at(found, -1)
+        end = F.greatest(last["start"] + last["words"], x["start"] + x["words"])
+        longer = F.struct(last["start"].alias("start"), (end - last["start"]).alias("words"))
+        goes_on = (F.size(found) > 0) & (x["start"] <= last["start"] + last["words"])
+        return F.when(goes_on, F.concat(F.slice(found, F.lit(1), F.size(found) - 1), F.array(longer))).otherwise(
+            F.concat(found, F.array(x))
+        )
+
+    return F.aggregate(F.sort_array(spans), F.array().cast("array<struct<start:bigint,words:bigint>>"), add)
 
 
-def _with_spans(docs: DataFrame, size: int, limit: int) -> DataFrame:
-    keyed = _keyed(docs)
-    paths = repeated_paths(keyed, size, limit)
-    spans = paths.groupBy(*_DOC).agg(F.collect_list(F.struct("start", "words")).alias("__spans"))
-    return join_by_document(keyed, stage(spans, "__spans"), "left", limit)
+def _with_spans(rows: DataFrame, size: int, limit: int) -> DataFrame:
+    """``doc_id, text`` and more, with the places of the repeated words. The tables made on the way are deleted."""
+    keyed = _keyed(rows)
+    with scratch(rows.sparkSession):
+        paths = repeated_paths(keyed, size, limit)
+        span = F.struct(F.col("start").cast("bigint").alias("start"), F.col("words").cast("bigint").alias("words"))
+        spans = stage(paths.groupBy(*_DOC).agg(_merged(F.collect_list(span)).alias("__spans")), "spans", keep=True)
+    return join_by_document(keyed, spans, "left", limit)
 
 
 def without_repeats(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -277,7 +325,8 @@ def without_repeats(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_
     words joined by one space.
 
     Null, empty and short texts have no window and keep all words; an empty table gives an empty result.
-    Repeated rows count as separate texts, so both lose all that fills a window. A null id stays null.
+    Repeated rows count as separate texts, so both lose all that fills a window. A null id stays null. A very long text is
+    worked through in parts that share ``size - 1`` words; no text is cut for the result.
     """
     rows = _with_spans(docs.select("doc_id", "text"), size, limit).select("doc_id", "text", "__spans")
     return rows.mapInArrow(
@@ -286,9 +335,11 @@ def without_repeats(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_
 
 
 def cleaned(docs: DataFrame, size: int = WINDOW, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``docs`` with the repeated spans taken out of ``text``; columns of other names are as they were.
+    """``docs`` with the repeated spans taken out of ``text``; the other columns, of whatever name, as they were.
 
-    A text that loses words is its kept words joined by one space; all others are unchanged.
+    A text that loses words is its kept words joined by one space; all others are unchanged. Null ids, null, empty and very long
+    texts, repeated rows and empty tables are taken as by :func:`without_repeats`.
     """
-    rows = _with_spans(docs, size, limit).select(*docs.columns, "__spans")
-    return rows.mapInArrow(_kept_text(_texts), docs.schema)
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    rows = _with_spans(docs.select("doc_id", "text", others.alias("row")), size, limit)
+    return rows.select("text", "row", "__spans").mapInArrow(_kept_text(_texts(docs.columns)), docs.schema)

@@ -7,6 +7,8 @@ same whatever its length; :func:`mix` then spreads their bits.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,15 +38,18 @@ def mix(values: np.ndarray, salt: int = 0) -> np.ndarray:
 
 def powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``count`` powers of an odd base modulo 2**64, and of its inverse."""
-    if base not in _POWERS or len(_POWERS[base][0]) < count:
+    found = _POWERS.get(base)
+    if found is None or len(found[0]) < count:
         size = 1 << max(10, (count - 1).bit_length())
         tables = []
         for factor in (base, pow(base, -1, 2**64)):
             steps = np.full(size, factor, np.uint64)
             steps[0] = 1
             tables.append(np.cumprod(steps, dtype=np.uint64))
-        _POWERS[base] = tuple(tables)
-    up, down = _POWERS[base]
+        found = tuple(tables)
+        if size <= 2 * BLOCK_BYTES:  # larger ones are not kept for a worker's life
+            _POWERS[base] = found
+    up, down = found
     return up[:count], down[:count]
 
 
@@ -78,7 +83,9 @@ def blocks(
 ) -> Iterator[pa.RecordBatch]:
     """The rows again, in batches whose texts have about ``most`` bytes at most.
 
-    Numpy's work on a block takes some fifty times its bytes, so this bounds a task's memory.
+    Numpy's work on a block takes some fifty times its bytes, so this bounds a task's memory. A text longer than a
+    block comes alone; :func:`slices` takes it in parts. What the task has used goes back to the system at its end, since the
+    worker's next task may be of another kind.
     """
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
@@ -87,13 +94,21 @@ def blocks(
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
+    _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 class Words:
     """The words of a block of texts: maximal runs of bytes that are no separators."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
-        self.data, self.bounds = text_buffer(column)
+    def __init__(self, column: pa.Array | tuple[np.ndarray, np.ndarray], lower: bool = False):
+        """``column`` may also be the bytes and bounds that :func:`text_buffer` gives."""
+        self.data, self.bounds = column if isinstance(column, tuple) else text_buffer(column)
         if lower:
             self.data = _LOWER[self.data]
         apart = _IS_SEPARATOR[self.data]
@@ -115,6 +130,41 @@ class Words:
         return np.diff(self.first)
 
 
+def slices(
+    column: pa.Array, overlap: int, lower: bool = False, most: int | None = None
+) -> Iterator[tuple[Words, int]]:
+    """The words of a block in one part, or those of a single long text in several.
+
+    Gives words with the number, in the text, of the first of them. Parts of a long text have about ``most`` bytes
+    (:data:`BLOCK_BYTES`), end between words and begin with the last ``overlap`` words of the part before, so that a run of one word
+    more lies whole in one part and in no other. Only a single word is never cut.
+    """
+    most = most or BLOCK_BYTES
+    data, bounds = text_buffer(column)
+    if len(bounds) != 2 or len(data) <= 2 * most:
+        yield Words((data, bounds), lower), 0
+        return
+    begin = first = at = 0
+    while at < len(data):
+        stop = _next_separator(data, at + most)
+        part = data[begin:stop]
+        words = Words((part, np.array([0, len(part)], np.int64)), lower)
+        yield words, first
+        kept = min(overlap, len(words.start))
+        first += len(words.start) - kept
+        begin = begin + int(words.start[-kept]) if kept else stop
+        at = stop
+
+
+def _next_separator(data: np.ndarray, at: int) -> int:
+    while at < len(data):
+        found = np.flatnonzero(_IS_SEPARATOR[data[at : at + 4096]])
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return len(data)
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` words of a block, also of those that leave their text."""
     if len(hashes) < size:
@@ -137,9 +187,21 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def shingle_sets(column: pa.Array, size: int, lower: bool = True) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles of ``size`` words.
 
-    A text with fewer words has one shingle, all of it; one without words has none.
+    A text with fewer words has one shingle, all of it; one without words has none. Of a long text no more than its set
+    and one part's shingles are held.
     """
-    words = Words(column, lower)
+    parts = slices(column, size - 1, lower)
+    words, _ = next(parts)
+    found = []
+    for more, _ in parts:
+        if not found:
+            found.append(np.unique(windows(words.hashes(), size)))
+        found.append(np.unique(windows(more.hashes(), size)))
+    if found and (any(map(len, found))):
+        yield np.unique(np.concatenate(found))
+        return
+    if found:  # a long text of a few very long words
+        words = Words(column, lower)
     own = words.hashes()
     runs = windows(own, size)
     sums = prefix(own, WORD_BASE)
