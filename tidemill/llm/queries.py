@@ -188,3 +188,65 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce
 FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN children c ON c.path = n.path
 LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
 """
+
+
+_REACHABLE = """
+reach AS (
+    SELECT a AS node, a AS other FROM nodes
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+)"""
+
+
+ORACLES["op3_forest"] = f"""
+WITH RECURSIVE sound AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+        AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links AS (
+    SELECT p.vec_id AS a, q.vec_id AS b FROM sound p JOIN sound q ON p.label = q.label AND p.vec_id <> q.vec_id
+    WHERE list_cosine_similarity(p.v, q.v) >= 0.98
+), nodes AS (SELECT DISTINCT a FROM links), {_REACHABLE}
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.least, e.vec_id) AS component_id, coalesce(c.least, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+LEFT JOIN (SELECT node, min(other) AS least FROM reach GROUP BY node) c ON c.node = e.vec_id
+"""
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op4_minhash"] = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_transform({_WORDS}, lambda x: translate(x, '{_UPPER}', '{_LOWER}')) AS words FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 1 THEN [words[1]]
+        ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS s
+    FROM worded WHERE len(words) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS n FROM shingles p JOIN shingles q ON p.s = q.s AND p.doc_id <> q.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common c JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * c.n >= 80 * (p.n + q.n - c.n)
+), nodes AS (SELECT DISTINCT a FROM links), {_REACHABLE}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id, coalesce(c.least, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT node, min(other) AS least FROM reach GROUP BY node) c ON c.node = d.doc_id
+"""
+
+ORACLES["op10_debruijn"] = f"""
+WITH worded AS (
+    SELECT doc_id, row_number() OVER () AS id, {_WORDS} AS words FROM documents
+), windows AS (
+    SELECT id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM (SELECT id, words, unnest(range(1, len(words) - 33)) AS i FROM worded)
+), gone AS (
+    SELECT DISTINCT id, unnest(range(i, i + 35)) AS place FROM windows
+    WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), kept AS (
+    SELECT w.id, count(g.place) AS removed, coalesce(string_agg(word, ' ' ORDER BY w.place) FILTER (WHERE g.place IS NULL), '') AS rest
+    FROM (SELECT id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM worded) w
+    LEFT JOIN gone g ON g.id = w.id AND g.place = w.place GROUP BY w.id
+)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(k.removed, 0) AS n_removed, sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM worded w LEFT JOIN kept k ON k.id = w.id
+"""
