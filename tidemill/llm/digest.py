@@ -18,6 +18,7 @@ from tidemill.llm import kernels
 
 WINDOW = 64  # bytes of a feature, and features of a popularity window
 POPULAR = 16  # popularity windows that a feature must win
+SHORT, SMALL = 512, 8  # a text of so many bytes at most has all its windows of so few bytes as features
 FILTER_BITS, HASHES, FILTER_FEATURES = 2048, 5, 160
 LEVELS = 1000  # steps of entropy between 0 and the most that a window can have
 WEAK = 100  # steps of entropy at and below which a window is no feature
@@ -98,8 +99,9 @@ def rarity(docs: DataFrame) -> np.ndarray:
 def fingerprints(column: pa.Array, ranks: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its Bloom filters ``[filters, bytes]`` and the number of features in each.
 
-    A feature is a window that is the leftmost rarest of at least :data:`POPULAR` runs of :data:`WINDOW` windows. A text
-    without one gives a single feature, all of it; an empty text has no filter.
+    A feature is a window that is the leftmost rarest of at least :data:`POPULAR` runs of :data:`WINDOW` windows. Of a short text,
+    and of one without such a window, every window of :data:`SMALL` bytes is a feature; one of fewer bytes gives a
+    single feature, all of it; an empty text has no filter.
     """
     data, bounds = kernels.text_buffer(column)
     level = entropies(data)
@@ -108,6 +110,7 @@ def fingerprints(column: pa.Array, ranks: np.ndarray) -> list[tuple[np.ndarray,
     places = np.arange(len(rank))
     own = rank * 2**40 + places
     rows, names = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    sums = kernels.prefix(kernels.BYTE_VALUES[data], kernels.BYTE_BASE)
     if len(own):
         # runs are cut at the end of a text: windows there get places that never win
         least = kernels.sliding_min(np.concatenate((own, np.full(WINDOW - 1, 2**62))), WINDOW)[: len(own)]
@@ -115,13 +118,15 @@ def fingerprints(column: pa.Array, ranks: np.ndarray) -> list[tuple[np.ndarray,
         real = inside & (least < (LEVELS + 1) * 2**40) & (doc[np.minimum(winner, len(doc) - 1)] == doc)
         won = np.bincount(winner[real], minlength=len(own))
         rows = np.flatnonzero(won >= POPULAR)
-        sums = kernels.prefix(kernels.BYTE_VALUES[data], kernels.BYTE_BASE)
         names = kernels.mix(kernels.span_hash(sums, rows, rows + WINDOW, kernels.BYTE_BASE), 50)
     first = np.searchsorted(rows, bounds)
     raw, out = data.tobytes(), []
     for text, (s, e) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-        mine = names[s:e]
-        if not len(mine) and bounds[text + 1] > bounds[text]:
+        mine, size = names[s:e], int(bounds[text + 1] - bounds[text])
+        if SMALL <= size and (size <= SHORT or not len(mine)):
+            at = np.arange(bounds[text], bounds[text + 1] - SMALL + 1)
+            mine = kernels.mix(kernels.span_hash(sums, at, at + SMALL, kernels.BYTE_BASE), 51)
+        elif not len(mine) and size:
             whole = hashlib.sha256(raw[bounds[text] : bounds[text + 1]]).digest()
             mine = np.frombuffer(whole[:8], np.uint64)
         mine = mine[np.sort(np.unique(mine, return_index=True)[1])]
