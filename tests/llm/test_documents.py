@@ -360,3 +360,27 @@ def test_stage_columns_of_any_name(awkward):
         assert left.columns == docs.columns
         assert Counter(map(tuple, left.select(*plain).collect())) == Counter(map(tuple, stage_of(awkward).collect()))
         assert {tuple(r) for r in left.select(*[f"`{n}`" for n in names]).collect()} == {tuple(range(len(names)))}
+
+
+def test_documents_without_ids_are_sampled_apart(spark):
+    rows = [(None, f"ten words are in this text of number {i} exactly", "a") for i in range(100)]
+    rows += [(i, prose(i, 50), "b") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = {r.source: r for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()}
+    for row in found.values():
+        assert abs(row.taken - row.target) <= 0.03 * row.target
+
+
+def test_short_texts_that_differ_in_a_word_are_alike(spark):
+    import pyarrow as pa
+
+    base = "The quick brown fox jumps over the lazy dog near the river"
+    texts = [base, base.replace("quick", "slow"), base.replace("lazy", "old"), "Nothing of the kind was ever written by anyone at all", "ab", "ab", ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    ranks = digest.rarity(docs)
+    prints = digest.fingerprints(pa.array(texts, pa.large_string()), ranks)
+    assert digest.likeness(prints[0], prints[1]) > 0.5 and digest.likeness(prints[0], prints[2]) > 0.5
+    assert digest.likeness(prints[0], prints[3]) < 0.25
+    assert digest.likeness(prints[4], prints[5]) == 1 and digest.likeness(prints[4], prints[6]) == 0
+    rows = {r.doc_id: r for r in digest.fingerprint_documents(docs).collect()}
+    assert rows[2].near_next > 0.5 and 0 < rows[1].near_edited < 1

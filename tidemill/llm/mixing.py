@@ -64,12 +64,13 @@ def mix(
     under a cut, chosen from two histograms of sizes over the hash so that the words come as near the target as
     a step of 24 hash bits allows. The same table and seed give the same mix.
 
-    Null and empty texts have size 0 and are taken 0 times; rows that repeat an id are taken alike; a source without words
+    Null and empty texts have size 0 and are taken 0 times; rows that repeat an id, or a text where they have no id, are taken
+    alike; a source without words
     has target 0. Own columns named like the four new ones are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "taken")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    drawn = F.xxhash64(F.lit(seed), "doc_id")
+    drawn = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
     first = F.shiftrightunsigned(drawn, 64 - _STEP)
     fine = F.shiftrightunsigned(drawn, 64 - 2 * _STEP)
     sizes = stage(docs.select("source", size.alias("size"), first.alias("first"), fine.alias("fine")), "sizes")
