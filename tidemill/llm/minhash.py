@@ -8,16 +8,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import kernels
 from tidemill.llm.graph import BROADCAST_IDS, components, join_ids
-from tidemill.session import stage
+from tidemill.session import scratch, stage
 
 BANDS, BAND_ROWS, BITS = 40, 6, 4
 HASHES = BANDS * BAND_ROWS
-BLOCK_NODES = 256  # nodes of one bucket compared against as many others in one task
+BLOCK_NODES = 2_048  # nodes of one bucket compared against as many others in one task
 PAIRS_PER_LEADER = 1_000
 
 _SEEDS = np.random.default_rng(4_004)
@@ -117,10 +117,18 @@ def _shared(one: np.ndarray, two: np.ndarray) -> int:
 
 
 def _confirm(percent: int):
+    """Pairs that their packed bits do not rule out and their full sets confirm."""
+    least = doubt(percent / 100)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two, keep = batch.column("set_a"), batch.column("set_b"), []
-            for a, b in zip(one, two):
+            packed = [np.stack([np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()]) for c in ("packed_a", "packed_b")]
+            likely = estimated_similarity(*packed) >= least
+            for a, b, worth in zip(one, two, likely.tolist()):
+                if not worth:
+                    keep.append(False)
+                    continue
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 both = _shared(a, b)
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
@@ -137,18 +145,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     often = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_LEADER).cast("int").alias("slices"))
     dealt = pairs.join(often, "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
-    right = dealt.drop("slices").join(sets.toDF("b", "set_b"), "b")
-    left = sets.toDF("a", "set_a").join(often, "a")
+    right = dealt.drop("slices").join(sets.toDF("b", "set_b", "packed_b"), "b")
+    left = sets.toDF("a", "set_a", "packed_a").join(often, "a")
     left = left.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
-    both = right.join(left, ["a", "slice"]).select("a", "b", "set_a", "set_b")
+    both = right.join(left, ["a", "slice"]).select("a", "b", "set_a", "set_b", "packed_a", "packed_b")
     return both.mapInArrow(_confirm(percent), "a binary, b binary")
 
 
 def _across(least: float):
     """Of one bucket, the nodes with partners in other components that may reach the threshold.
 
-    Gives ``node, root, partners``, the partners' names joined. A pair that shares several buckets is given by
-    the one of its first common band only.
+    Gives ``node, root, partners``, the partners' names joined. The left side has nodes outside the bucket's largest component,
+    the right side any; a pair of two of the first kind is taken from the side with the smaller name. A pair that shares several
+    buckets is given by the one of its first common band only.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -158,12 +167,10 @@ def _across(least: float):
             packed = np.stack([np.frombuffer(x, np.uint8) for x in right["packed"]])
             bands = np.stack([np.asarray(x, np.int64) for x in right["bands"]])
             roots, names = right["root"].to_numpy(object), right["node"].to_numpy(object)
-            key, whole = rows["key"].iloc[0], bool(rows["same"].iloc[0])
+            key, main = rows["key"].iloc[0], right["main"].to_numpy(bool)
             for node, root, own, keys in zip(left["node"], left["root"], left["packed"], left["bands"]):
                 near = estimated_similarity(np.frombuffer(own, np.uint8), packed) >= least
-                near &= roots != root
-                if whole:
-                    near &= names > node
+                near &= (roots != root) & (main | (names > node))
                 at = np.flatnonzero(near)
                 if len(at):
                     common = bands[at] == np.asarray(keys, np.int64)
@@ -204,34 +211,30 @@ def _cross_links(
 ) -> DataFrame:
     """Links between different components: all candidate pairs, block by block in their buckets.
 
-    Pairs stay inside the tasks that compare them; what is shuffled is one row per node and block.
+    In a bucket the nodes of its largest component meet the others only, so they are dealt to blocks once, however many they
+    are; the others, mostly few, are copied to each of these blocks. Pairs stay inside the tasks that compare them.
     """
     placed = members.join(roots, "node")
-    mixed = placed.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+    parts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main"))
+    blocks = lambda n: F.ceil(n / BLOCK_NODES).cast("int")
+    mixed = mixed.where("roots > 1").select(
+        "key", F.col("main.root").alias("largest"), blocks(F.col("size")).alias("right"), blocks(F.col("size") - F.col("main.n")).alias("left")
     )
-    mixed = mixed.where("low <> high").select("key", F.ceil(F.col("size") / BLOCK_NODES).cast("int").alias("parts"))
     rows = placed.join(mixed, "key").join(nodes.select("node", "packed", "bands"), "node")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda p: F.struct(
-            F.least(p, F.col("part")).alias("i"),
-            F.greatest(p, F.col("part")).alias("j"),
-            (p != F.col("part")).alias("other"),
-        ),
-    )
-    rows = rows.withColumn("m", F.explode(meets))
-    sides = F.when(F.col("m.i") == F.col("m.j"), F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.when(F.col("part") == F.col("m.i"), F.lit(0)).otherwise(F.lit(1)))
-    )
-    rows = rows.select(
-        "key", "node", "root", "packed", "bands", F.col("m.i").alias("i"), F.col("m.j").alias("j"),
-        (F.col("m.i") == F.col("m.j")).alias("same"), F.explode(sides).alias("side"),
-    )
+    main = F.col("root") == F.col("largest")
+    home = lambda parts: F.pmod(F.xxhash64("node"), F.col(parts)).cast("int")
+
+    def dealt(column: str) -> Column:
+        return F.sequence(F.lit(0), F.col(column) - 1)
+
+    right = F.transform(dealt("left"), lambda j: F.struct(home("right").alias("i"), j.alias("j"), F.lit(1).alias("side")))
+    left = F.transform(dealt("right"), lambda i: F.struct(i.alias("i"), home("left").alias("j"), F.lit(0).alias("side")))
+    rows = rows.withColumn("m", F.explode(F.when(main, right).otherwise(F.concat(right, left))))
+    rows = rows.select("key", "node", "root", "packed", "bands", main.alias("main"), "m.i", "m.j", "m.side")
     kinds = "key bigint, i int, j int, node binary, root binary, partners binary"
     near = rows.groupBy("key", "i", "j").applyInPandas(_across(doubt(percent / 100)), kinds)
-    whole = stage(near, "cross").join(sets, "node")
+    whole = stage(near, "cross").join(sets.drop("packed"), "node")
     return whole.groupBy("key", "i", "j").applyInPandas(_confirm_across(percent), "a binary, b binary")
 
 
@@ -250,26 +253,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     ``component_id`` is the smallest id reachable, ``kept`` says whether it is the row's own. A null
     id never becomes the smallest unless the group has no other. Null, empty and wordless texts
-    have an empty set and link with nothing: their component is their own id. Repeated rows are linked like any copies.
+    have an empty set and link with nothing: their component is their own id. Repeated rows are linked like any copies. Of a very
+    long text the shingles are gathered part by part; its whole set is compared.
     """
-    return _grouped(docs, words, percent).drop("_t")
+    with scratch(docs.sparkSession):
+        return stage(_grouped(docs, words, percent).drop("_t"), "groups", keep=True)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, limit: int = BROADCAST_IDS) -> DataFrame:
     """``docs`` without the rows that :func:`near_duplicates` does not keep, all columns as they were.
 
-    Of rows with the same id and text one stays. Rows without an id whose group has no id at all stay.
+    Columns may have any names. Of rows with the same id and text one stays. Rows without an id whose group has no id at all stay.
     """
     own = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), F.xxhash64("text")]
-    grouped = _grouped(docs, words, percent).withColumn("__d", F.coalesce("doc_id", F.lit(-(2**63))))
-    state = grouped.withColumnRenamed("_t", "__t").groupBy("__d", "__t").agg(F.max("kept").alias("__kept"), F.count("*").alias("__n"))
-    state = stage(state.where(~F.col("__kept") | ((F.col("__n") > 1) & (F.col("__d") > -(2**63)))), "state")
+    with scratch(docs.sparkSession):
+        grouped = _grouped(docs, words, percent).withColumn("__d", F.coalesce("doc_id", F.lit(-(2**63))))
+        state = grouped.withColumnRenamed("_t", "__t").groupBy("__d", "__t").agg(F.max("kept").alias("__kept"), F.count("*").alias("__n"))
+        state = stage(state.where(~F.col("__kept") | ((F.col("__n") > 1) & (F.col("__d") > -(2**63)))), "state", keep=True)
     few = state.count() <= limit
-    rows = docs.withColumns({"__d": own[0], "__t": own[1]})
+    rows = docs.select(own[0].alias("__d"), own[1].alias("__t"), F.struct("*").alias("row"))  # whatever the columns are called
     rows = rows.join(F.broadcast(state) if few else state.hint("shuffle_merge"), ["__d", "__t"], "left")
     single = rows.where("__n is null")
     several = rows.where("__kept").dropDuplicates(["__d", "__t"])
-    return single.union(several).select(*docs.columns)
+    return single.union(several).select("row.*")
 
 
 def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -292,7 +298,8 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = nodes.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), "node")
     chosen = join_ids(texts.withColumn("_id", F.coalesce("doc_id", F.lit(-(2**63)))), wanted, ["_id"])
     sets = chosen.select("node", "text").mapInArrow(_sets(words), "node binary, shingles binary")
-    sets = stage(sets.dropDuplicates(["node"]), "sets")
+    sets = sets.dropDuplicates(["node"]).join(nodes.select("node", "packed"), "node")
+    sets = stage(sets.select("node", "shingles", "packed"), "sets")
 
     sizes = members.groupBy("key").agg(F.count("*").alias("size"))
     central = members.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("weight"))
