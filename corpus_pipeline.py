@@ -20,8 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = ordinal.train(docs, ordinal.graded(labels))
-    rows = docs.select("text", F.struct("*").alias("row"))  # whatever else the columns are called
-    return ordinal.grade_documents(rows, model).where("selected").select("row.*")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])  # whatever they are called
+    rows = ordinal.grade_documents(docs.select("text", others.alias("row")), model).where("selected")
+    return rows.select(*["text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
