@@ -14,7 +14,9 @@ import pyarrow as pa
 from tidemill.llm import kernels
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_PIECES = 1_000_000
+CACHE_BYTES = 48 << 20
+SLICE_BYTES = 1 << 20  # longer texts are encoded in parts
+_ENTRY = 110  # bytes that a known piece takes beside its ids
 
 _SPACE = np.zeros(256, bool)  # ASCII bytes that some reader of regular expressions takes for white space
 _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
@@ -34,7 +36,7 @@ def _tokenizer(name: str):
     sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, at in tokenizer.get_vocab().items():
         sizes[at] = len(token)  # such a vocabulary writes each byte as one character
-    return tokenizer, sizes, {}
+    return tokenizer, sizes, {}, [0]
 
 
 def _wide_space(data: np.ndarray) -> np.ndarray:
@@ -50,10 +52,41 @@ def _wide_space(data: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _cut(data: np.ndarray, at: int) -> int:
+    """First place from ``at`` on where a text may be cut: a single space or line break between printable ASCII.
+
+    There a piece of the vocabulary's pattern ends and the next begins, whatever else stands in the text.
+    """
+    while at < len(data) - 1:
+        near = data[at - 1 : at + 4097]
+        plain = (near > 0x20) & (near < 0x7F)
+        found = np.flatnonzero(_BREAK[near[1:-1]] & plain[:-2] & plain[2:])
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return len(data)
+
+
 def encode(column: pa.Array, vocabulary: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of a block of texts, one after the other, and the bounds of each text's ids."""
-    tokenizer, sizes, known = _tokenizer(vocabulary)
+    """Ids of a block of texts, one after the other, and the bounds of each text's ids.
+
+    A single long text is encoded in parts of about :data:`SLICE_BYTES`, cut where that changes no id; a text without such a
+    place, a single word above all, is encoded whole.
+    """
     data, bounds = kernels.text_buffer(column)
+    if len(bounds) != 2 or len(data) <= 2 * SLICE_BYTES:
+        return _encoded(data, bounds, vocabulary)
+    found, at = [], 0
+    while at < len(data):
+        stop = _cut(data, at + SLICE_BYTES)
+        found.append(_encoded(data[at:stop], np.array([0, stop - at]), vocabulary)[0])
+        at = stop
+    ids = np.concatenate(found)
+    return ids, np.array([0, len(ids)])
+
+
+def _encoded(data: np.ndarray, bounds: np.ndarray, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    tokenizer, sizes, known, held = _tokenizer(vocabulary)
     texts = len(bounds) - 1
     if not len(data):
         return np.zeros(0, np.uint32), np.zeros(texts + 1, np.int64)
@@ -78,8 +111,9 @@ def encode(column: pa.Array, vocabulary: str = VOCABULARY) -> tuple[np.ndarray,
     names = kernels.mix(kernels.span_hash(sums, start, end, kernels.BYTE_BASE) + (end - start).astype(np.uint64))
     names, first, inverse = np.unique(names, return_index=True, return_inverse=True)
     keys = names.tolist()
-    if len(known) > CACHED_PIECES:
+    if held[0] + _ENTRY * len(known) > CACHE_BYTES:
         known.clear()
+        held[0] = 0
     missing = np.array([i for i, key in enumerate(keys) if key not in known], np.int64)
     s, e = start[first[missing]], end[first[missing]]
     alone = space[e - 1] | whole[np.searchsorted(bounds, s, "right") - 1]
@@ -103,6 +137,7 @@ def encode(column: pa.Array, vocabulary: str = VOCABULARY) -> tuple[np.ndarray,
         for i, head, stop in zip(rest[at : at + 20_000], heads[at : at + 20_000], ends.tolist()):
             known[keys[i]] = buffer[4 * (before + head) : 4 * stop]
             before = stop
+    held[0] += sum(len(known[keys[i]]) for i in missing.tolist())
     pool = [known[key] for key in keys]
     lengths = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
     values = np.frombuffer(b"".join(pool), np.uint32)

@@ -308,6 +308,7 @@ def _merged(spans: Column) -> Column:
 
 def _with_spans(rows: DataFrame, size: int, limit: int) -> DataFrame:
     """``doc_id, text`` and more, with the places of the repeated words. The tables made on the way are deleted."""
+    kernels.small_batches(rows.sparkSession)
     keyed = _keyed(rows)
     with scratch(rows.sparkSession):
         paths = repeated_paths(keyed, size, limit)

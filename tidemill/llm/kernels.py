@@ -14,10 +14,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Bytes between words: space and the five ASCII controls from tab to carriage return.
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 BLOCK_BYTES = 1 << 20
+BATCH_ROWS = 1_000  # texts that are handed to Python at once
 
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(SEPARATORS)] = True
@@ -78,6 +80,17 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a thousand at a time, where the submitter has not set a number.
+
+    Spark's own ten thousand make buffers of tens of megabytes of text on both sides of every running task, which
+    its executors keep. The setting stays with the session, since plans are run after the operators have returned.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:

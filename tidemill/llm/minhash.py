@@ -279,6 +279,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, limit: int =
 
 
 def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    kernels.small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_t"))
     kinds = "doc_id bigint, _t bigint, node binary, n_shingles bigint, bands array<bigint>, packed binary"
     sketches = stage(texts.mapInArrow(_sketch(words), kinds), "sketches")

@@ -159,6 +159,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     The bound holds the ids that are broadcast and the features that the driver reads. Without any
     rated document all weights are zero and every document gets the same grade.
     """
+    kernels.small_batches(docs.sparkSession)
     chosen = ratings.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = chosen.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(sample_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "grade")
@@ -183,6 +184,7 @@ def grade_documents(docs: DataFrame, model: OrdinalModel, least_tail: float = LE
     empty texts are graded by having no words. Own columns of these names are replaced.
     """
     names = ["expected_grade", *[f"p_{i}" for i in range(1, GRADES)], "selected"]
+    kernels.small_batches(docs.sparkSession)
     rows = docs.drop(*names)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

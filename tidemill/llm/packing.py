@@ -196,6 +196,7 @@ def pack(
     A null text is an empty one: its only token is ``end_id``. Repeated rows are packed each; a null id stays null; an
     empty table gives an empty result.
     """
+    kernels.small_batches(docs.sparkSession)
     kinds = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, rank bigint, part bigint"
     kinds += ", ids array<int>" if with_ids else ""
     pieces = stage(
