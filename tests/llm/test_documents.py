@@ -1,14 +1,17 @@
 """The operators on documents: against plain Python, and on awkward rows."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemill.llm import bpe, crossent, debruijn, digest, minhash, mixing, ordinal, packing, rollup
+from tidemill.llm import bpe, crossent, debruijn, digest, kernels, minhash, mixing, ordinal, packing, rollup
 from tidemill.session import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -262,6 +265,54 @@ def test_cross_entropy_difference(spark, awkward, clashing):
     assert len(found) == awkward.count() and next(r for r in found if r.doc_id == 0).difference is None
 
 
+def test_cross_entropy_against_plain_counts(spark, monkeypatch):
+    """Losses of every text under the counts of all others."""
+    monkeypatch.setattr(crossent, "LEAST_BUCKET_BITS", 3)
+    rows = [(i, prose(i % 7, 30 + 60 * (i % 4))) for i in range(24)] + [(24, "Once"), (25, None), (26, " "), (None, "once more")]
+    rows += [(3, prose(3, 210))]
+    targets = {1, 3, 10, 24}
+    docs = [(i, (t or "").lower().split(), i in targets) for i, t in rows]
+    grams = lambda w: [(k, g) for b, a in zip([None, *w], w) for k, g in enumerate((a, (b,), (b, a)))]
+    every, chosen = Counter(), Counter()
+    for _, words, target in docs:
+        every.update(grams(words))
+        chosen.update(grams(words) if target else [])
+    vocabulary = len({g for k, g in every if k == 0})
+    total = [sum(len(w) for _, w, t in docs if t), sum(len(w) for _, w, _ in docs)]
+
+    def loss(words, counts, size, scale, held):
+        own = Counter(grams(words)) if held else Counter()
+        rest, found = scale * (size - (len(words) if held else 0)), 0.0
+        for b, a in zip([None, *words], words):
+            word, before, pair = (scale * (counts[g] - own[g]) for g in ((0, a), (1, (b,)), (2, (b, a))))
+            share = (word + crossent.SMOOTH) / (rest + crossent.SMOOTH * (vocabulary + 1))
+            found -= math.log((pair + crossent.TRUST * share) / (before + crossent.TRUST))
+        return round(found / len(words), 9)
+
+    expected = Counter()
+    for i, words, target in docs:
+        two = (None, None)
+        if words:
+            two = loss(words, chosen, total[0], total[1] / total[0], target), loss(words, every, total[1], 1.0, True)
+        expected[i, len(words), *two] += 1
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    marks = spark.createDataFrame([(i,) for i in targets], "doc_id bigint")
+    number = lambda x: None if x is None else round(x, 9)
+    found = crossent.score(table, marks).collect()
+    got = Counter((r.doc_id, r.n_tokens, number(r.target_loss), number(r.background_loss)) for r in found)
+    close = lambda c: sorted(((i is None, i or 0, n, round(a or 0, 6), round(b or 0, 6)) for i, n, a, b in c.elements()))
+    assert close(got) == close(expected)
+
+
+def test_cross_entropy_takes_long_texts_in_parts(monkeypatch):
+    text = pa.array(["one  Two " + prose(3, 900) + " " * 700 + "two", None])[:1]
+    whole = crossent.Block(text)
+    monkeypatch.setattr(kernels, "BLOCK_BYTES", 200)
+    parts = crossent.Block(text)
+    assert np.array_equal(whole.grams, parts.grams) and np.array_equal(whole.count, parts.count)
+    assert np.array_equal(whole.places, parts.places)
+
+
 def test_rollup_totals(awkward, clashing):
     tokenizer = bpe._tokenizer(bpe.VOCABULARY)[0]
     rows = sorted(awkward.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))

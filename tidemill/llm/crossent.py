@@ -2,166 +2,211 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import kernels
+from tidemill.session import stage
 
-CHUNK_BITS = 14
-LEAST_BITS, MOST_BITS = 18, 22
-COUNT_BYTES = 4 << 20  # of text for each pass over the cells
-UNIGRAMS, PAIRS = 0, 1
-BACKOFF, SMOOTH = 0.4, 0.5
+BLOCK_BYTES = 4 << 20  # of text whose n-grams are asked for together
+BUCKET_BYTES = 16 << 20  # of text for each bucket of n-grams
+LEAST_BUCKET_BITS = 6
+TEXTS = -1  # bucket of the rows that carry a block's texts
+BEGIN = 1  # stands before the first word of a text
+WORD, CONTEXT, PAIR = 0, 1, 2  # kinds of n-gram, in the two lowest bits of its hash
+SMOOTH, TRUST = 0.5, 2.0
+_ZSTD = pa.Codec("zstd", 1)
+_ROWS = "block bigint, bucket int, size int, data binary, target_words bigint, words bigint, vocabulary bigint"
 
 
-def vocabulary_bits(words: int) -> int:
-    """Bits of the hashed vocabulary: about one cell for 16 words of the corpus, within fixed bounds."""
-    return int(min(MOST_BITS, max(LEAST_BITS, np.ceil(np.log2(max(words, 1) / 16)))))
+def _packed(*columns: np.ndarray) -> bytes:
+    return _ZSTD.compress(np.concatenate([c.astype(np.int64) for c in columns]).tobytes(), asbytes=True)
 
 
-def _cells(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, cell of each word, cell of each word after the one before, and where a text begins."""
-    words = kernels.Words(column, lower=True)
-    own = words.hashes()
-    doc = np.repeat(np.arange(len(words.first) - 1), words.counts())
-    begins = np.ones(len(own), bool)
-    begins[1:] = doc[1:] != doc[:-1]
-    before = np.zeros(len(own), np.uint64)
-    before[1:] = own[:-1]
-    before[begins] = 1
-    pair = kernels.mix(before * np.uint64(kernels.WORD_BASE) + own, 60)
-    shift = np.uint64(64 - bits)
-    return doc, (own >> shift).astype(np.int64), (pair >> shift).astype(np.int64), begins
-
+def _unpacked(raw: bytes, size: int, columns: int) -> np.ndarray:
+    return np.frombuffer(_ZSTD.decompress(raw, size * columns * 8, asbytes=True), np.int64).reshape(columns, size)
 
-def _packed(cells: np.ndarray) -> bytes:
-    return zlib.compress(cells.astype(np.int64).tobytes(), 1)
 
+def _runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Text number, word and the word before, for each word; long texts in parts."""
+    for words, first in kernels.slices(column, 1, lower=True):
+        own = words.hashes()
+        doc = np.repeat(np.arange(len(words.first) - 1), words.counts())
+        begins = np.ones(len(own), bool)
+        begins[1:] = doc[1:] != doc[:-1]
+        before = np.zeros(len(own), np.uint64)
+        before[1:] = own[:-1]
+        before[begins] = BEGIN
+        skip = 1 if first and len(own) else 0  # a later part begins with the last word of the one before
+        yield doc[skip:], before[skip:], own[skip:]
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), np.int64)
 
-
-def _counted(bits: int):
-    """Counts of a task's texts in both corpora, cell by cell, packed in chunks of cells."""
+def _distinct(doc, before, own, count) -> tuple[np.ndarray, ...]:
+    """Each text's distinct word pairs, with how often they stand in it."""
+    pair = kernels.mix(before * np.uint64(kernels.WORD_BASE) + own, 60)
+    order = np.lexsort((pair, doc))
+    doc, pair = doc[order], pair[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])
+    at = np.flatnonzero(new)
+    times = np.add.reduceat(count[order], at) if len(at) else count
+    return doc[at], before[order][at], own[order][at], times
+
+
+class Block:
+    """The n-grams of a block of texts: ``grams`` in order, and each text's pairs as places among them."""
+
+    def __init__(self, column: pa.Array):
+        parts = [_distinct(d, b, o, np.ones(len(d), np.int64)) for d, b, o in _runs(column)]
+        joined = tuple(np.concatenate(p) for p in zip(*parts))
+        self.doc, before, own, self.count = _distinct(*joined) if len(parts) > 1 else joined
+        self.texts = len(column)
+        pair = kernels.mix(before * np.uint64(kernels.WORD_BASE) + own, 60)
+        names = [self._named(own, WORD), self._named(before, CONTEXT), self._named(pair, PAIR)]
+        self.grams, places = np.unique(np.concatenate(names), return_inverse=True)
+        self.places = places.reshape(3, -1)
+
+    @staticmethod
+    def _named(values: np.ndarray, kind: int) -> np.ndarray:
+        return kernels.mix(values, 70 + kind) & np.uint64(2**64 - 4) | np.uint64(kind)
+
+    def totals(self, chosen: np.ndarray) -> np.ndarray:
+        """How often each of ``grams`` stands in the chosen texts."""
+        weights = np.where(chosen[self.doc], self.count, 0)
+        return sum(np.bincount(p, weights, minlength=len(self.grams)) for p in self.places).astype(np.int64)
+
+    def own(self) -> list[np.ndarray]:
+        """For each pair, how often its word, its context and the pair itself stand in the pair's own text."""
+        found = []
+        for kind in (WORD, CONTEXT):
+            _, at = np.unique(self.doc * len(self.grams) + self.places[kind], return_inverse=True)
+            found.append(np.bincount(at, self.count)[at] if len(at) else self.count)
+        return [*found, self.count]
+
+
+def _asked(bits: int):
+    """Blocks of texts: one row with the texts, and one for each bucket of their n-grams with both counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, 2, 2**bits), np.uint32)  # corpus, order, cell; one task's words
-        for batch in kernels.blocks(batches, most=COUNT_BYTES):
-            doc, word, pair, _ = _cells(batch.column("text"), bits)
-            target = batch.column("is_target").to_numpy(zero_copy_only=False)[doc] if len(doc) else np.zeros(0, bool)
-            for order, cell in ((UNIGRAMS, word), (PAIRS, pair)):
-                totals[1, order] += np.bincount(cell, minlength=2**bits).astype(np.uint32)
-                totals[0, order] += np.bincount(cell[target], minlength=2**bits).astype(np.uint32)
-        cells = totals.reshape(4, -1, 2**CHUNK_BITS)
-        table, chunk = np.nonzero(cells.any(axis=2))
-        raw = [_packed(cells[t, c]) for t, c in zip(table, chunk)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(table.astype(np.int32)), pa.array(chunk.astype(np.int32)), pa.array(raw, pa.binary())],
-            ["table", "chunk", "cells"],
-        )
+        for batch in kernels.blocks(batches, most=BLOCK_BYTES):
+            block = Block(batch.column("text"))
+            target = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
+            counts = block.totals(target), block.totals(np.ones(block.texts, bool))
+            number = uuid.uuid4().int >> 65  # any number, fixed by what is written
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_batch(batch)
+            buckets, at = np.unique(block.grams >> np.uint64(64 - bits), return_index=True)
+            ends = [*at[1:].tolist(), len(block.grams)]
+            words = int(block.count[target[block.doc]].sum()), int(block.count.sum())
+            rows = [(number, TEXTS, 0, sink.getvalue().to_pybytes(), *words, 0)]
+            for bucket, start, end in zip(buckets.tolist(), at.tolist(), ends):
+                own = (block.grams[start:end].view(np.int64), counts[0][start:end], counts[1][start:end])
+                rows.append((number, bucket, end - start, _packed(*own), 0, 0, 0))
+            yield _batch(rows)
 
     return run
 
 
-def _added(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of equal chunks of a task."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for part in rows:
-        for table, chunk, raw in zip(part["table"], part["chunk"], part["cells"]):
-            key = (int(table), int(chunk))
-            if key in sums:
-                sums[key] += _unpacked(raw)
-            else:
-                sums[key] = _unpacked(raw).copy()
-    if sums:
-        yield pd.DataFrame(
-            [(t, c, _packed(x)) for (t, c), x in sums.items()], columns=["table", "chunk", "cells"]
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["block", "bucket", "size", "data", "target_words", "words", "vocabulary"]
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """The counts in all texts of the n-grams each block asked for in one bucket, in the order it asked."""
+    sizes = table.column("size").to_pylist()
+    asked = [_unpacked(raw.as_py(), n, 3) for raw, n in zip(table.column("data"), sizes)]
+    grams, target, every = np.concatenate(asked, axis=1)
+    names, at = np.unique(grams.view(np.uint64), return_inverse=True)
+    totals = []
+    for counts in (target, every):
+        totals.append(np.bincount(at, counts, minlength=len(names))[at])
+    vocabulary = int((names & np.uint64(3) == WORD).sum())
+    rows, end = [], 0
+    for block, bucket, n in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), sizes):
+        rows.append((block, bucket, n, _packed(*(t[end : end + n] for t in totals)), 0, 0, 0 if rows else vocabulary))
+        end += n
+    return pa.Table.from_batches([_batch(rows)])
+
+
+def _scored(words: tuple[int, int], vocabulary: int):
+    """Mean losses of a block's texts, each under the models of all texts but itself."""
+
+    def losses(block: Block, own: list, counts: np.ndarray, total: int, scale: float, held: np.ndarray) -> np.ndarray:
+        number = np.bincount(block.doc, block.count, minlength=block.texts)  # words of each text
+        rest = scale * (total - np.where(held, number, 0))[block.doc]
+        seen = [scale * (counts[p] - np.where(held[block.doc], o, 0)) for p, o in zip(block.places, own)]
+        share = (seen[WORD] + SMOOTH) / (rest + SMOOTH * (vocabulary + 1))
+        loss = -np.log((seen[PAIR] + TRUST * share) / (seen[CONTEXT] + TRUST))
+        return np.bincount(block.doc, loss * block.count, minlength=block.texts) / np.maximum(number, 1)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        texts = pa.ipc.open_stream(table.column("data")[0].as_py()).read_all().combine_chunks()
+        ids, column = texts.column("doc_id").combine_chunks(), texts.column("text").combine_chunks()
+        target = texts.column("is_target").to_numpy().astype(bool)
+        block = Block(column)
+        parts = [
+            _unpacked(raw.as_py(), n, 2)
+            for raw, n in zip(table.column("data")[1:], table.column("size").to_pylist()[1:])
+        ]
+        counts = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
+        number = np.bincount(block.doc, block.count, minlength=block.texts).astype(np.int64)
+        scale = words[1] / words[0] if words[0] else 0.0
+        own = block.own()
+        means = [
+            losses(block, own, counts[0], words[0], scale, target),
+            losses(block, own, counts[1], words[1], 1.0, np.ones(block.texts, bool)),
+        ]
+        none = (number == 0) | (not words[0])
+        values = [pa.array(v, pa.float64(), mask=none) for v in (*means, means[0] - means[1])]
+        return pa.Table.from_arrays(
+            [ids.cast(pa.int64()), pa.array(number), *values],
+            ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
         )
 
-
-class Models:
-    """Target and background model over one hashed vocabulary: per word the difference of losses.
-
-    A word's probability interpolates its pair with the word before and its own share, which is
-    smoothed over all cells. The target's counts are scaled to the background's number of words, so both models are smoothed as
-    if trained on equally much text.
-    """
-
-    def __init__(self, totals: np.ndarray):
-        size = totals.shape[2]
-        words = totals[:, UNIGRAMS].sum(axis=1)
-        scale = words[1] / words[0] if words[0] else 0.0
-        self.logs = np.zeros((2, 2, size), np.float32)  # unigram share, and pair counts
-        for corpus, factor in ((0, scale), (1, 1.0)):
-            counts = totals[corpus] * factor
-            self.logs[corpus, UNIGRAMS] = (counts[UNIGRAMS] + SMOOTH) / (counts[UNIGRAMS].sum() + SMOOTH * size)
-            self.logs[corpus, PAIRS] = counts[PAIRS]
-        self.words = np.stack([totals[0, UNIGRAMS] * scale, totals[1, UNIGRAMS]]).astype(np.float32)
-        self.empty = not words[0]
-
-    def losses(self, corpus: int, word: np.ndarray, pair: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        share = self.logs[corpus, UNIGRAMS][word]
-        before = np.zeros(len(word))
-        before[1:] = self.words[corpus][word[:-1]]
-        before[begins] = 0
-        seen = np.minimum(self.logs[corpus, PAIRS][pair], before)
-        # what a context has seen often enough is trusted by its count, the rest goes to the word's share
-        trust = (1 - BACKOFF) * before / (before + 5)
-        return -np.log(trust * seen / np.maximum(before, 1) + (1 - trust) * share)
-
-
-def train(docs: DataFrame, targets: DataFrame) -> tuple[Models, int]:
-    """Both models from all ``docs``; the target corpus are the rows whose id is in ``targets (doc_id)``.
-
-    Every task counts its texts in a table of fixed size; tables are added chunk by chunk, first within
-    the tasks of a shuffle by chunk. The driver gets one table of at most ``2**MOST_BITS`` cells.
-    """
-    marked = targets.where("doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True))
-    ids = docs.select("doc_id", "text")
-    few = marked.count() <= 1_000_000
-    rows = ids.join(F.broadcast(marked) if few else marked.hint("shuffle_merge"), "doc_id", "left")
-    rows = rows.select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))
-    bits = vocabulary_bits(ids.agg(size).first()[0] // 7)
-    kinds = "table int, chunk int, cells binary"
-    parts = rows.mapInArrow(_counted(bits), kinds).repartition("table", "chunk").mapInPandas(_added, kinds)
-    totals = np.zeros((4, 2**bits // 2**CHUNK_BITS, 2**CHUNK_BITS), np.int64)
-    for row in parts.toLocalIterator():
-        totals[row["table"], row["chunk"]] += _unpacked(row["cells"])
-    return Models(totals.reshape(2, 2, -1)), bits
+    return run
 
 
 def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, difference`` of every row; losses per word in nats.
 
+    The target corpus are the rows of ``docs`` whose id is in ``targets (doc_id)``, the background all rows. Both
+    models count words and word pairs exactly, share the vocabulary of all rows and one smoothing: a word after
+    another has ``(pairs + TRUST * share) / (context + TRUST)``, its share ``(count + SMOOTH)`` over all words and one
+    unseen. The target's counts are scaled to the background's number of words, so that the smoothing
+    weighs the same in both. Every row is scored by the models of the other rows, so neither has read it.
+
+    Blocks of texts ask for the counts of their n-grams bucket by bucket; the task that has a bucket adds up what all blocks
+    bring and answers each. Buckets grow in number with the corpus, no task or driver holds a model, and a
+    frequent word pair is one entry for each block.
+
     A negative difference means a text more like the target corpus. Null, empty and wordless texts have
     no words and null losses; without any target text the two models are not comparable and losses are null too.
+    Repeated rows are scored each, and each is another row to the other; a null id is in no target.
     """
-    models, bits = train(docs, targets)
-    sent = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernels.blocks(batches):
-            doc, word, pair, begins = _cells(batch.column("text"), bits)
-            count = np.bincount(doc, minlength=batch.num_rows)
-            none = (count == 0) | sent.value.empty
-            means = []
-            for corpus in (0, 1):
-                loss = sent.value.losses(corpus, word, pair, begins)
-                means.append(np.bincount(doc, loss, minlength=batch.num_rows) / np.maximum(count, 1))
-            values = [*means, means[0] - means[1]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(count, pa.int64()), *(pa.array(v, pa.float64(), mask=none) for v in values)],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double"
+    kernels.small_batches(docs.sparkSession)
+    marked = targets.where("doc_id is not null").select("doc_id").distinct().withColumn("is_target", F.lit(True))
+    ids = docs.select("doc_id", "text")
+    few = marked.count() <= 1_000_000
+    rows = ids.join(F.broadcast(marked) if few else marked.hint("shuffle_merge"), "doc_id", "left")
+    rows = rows.select("doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    size = ids.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(LEAST_BUCKET_BITS, int(np.ceil(np.log2(max(size, 1) / BUCKET_BYTES))))
+    asked = stage(rows.mapInArrow(_asked(bits), _ROWS), "grams")
+    answers = stage(asked.where(F.col("bucket") != TEXTS).groupBy("bucket").applyInArrow(_answered, _ROWS), "counts")
+    words = asked.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("target_words", "words")]).first()
+    vocabulary = answers.agg(F.coalesce(F.sum("vocabulary"), F.lit(0))).first()[0]
+    both = asked.where(F.col("bucket") == TEXTS).union(answers).select("block", "bucket", "size", "data")
+    return both.groupBy("block").applyInArrow(
+        _scored(tuple(words), vocabulary),
+        "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double",
     )
