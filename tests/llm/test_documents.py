@@ -306,11 +306,11 @@ def test_cross_entropy_against_plain_counts(spark, monkeypatch):
 
 def test_cross_entropy_takes_long_texts_in_parts(monkeypatch):
     text = pa.array(["one  Two " + prose(3, 900) + " " * 700 + "two", None])[:1]
-    whole = crossent.Block(text)
+    whole = crossent.Block(text, 3)
     monkeypatch.setattr(kernels, "BLOCK_BYTES", 200)
-    parts = crossent.Block(text)
-    assert np.array_equal(whole.grams, parts.grams) and np.array_equal(whole.count, parts.count)
-    assert np.array_equal(whole.places, parts.places)
+    parts = crossent.Block(text, 3)
+    assert np.array_equal(whole.names, parts.names) and np.array_equal(whole.number, parts.number)
+    assert np.array_equal(whole.places, parts.places) and np.array_equal(whole.own(), parts.own())
 
 
 def test_rollup_totals(awkward, clashing):

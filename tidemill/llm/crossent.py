@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,75 +19,72 @@ BUCKET_BYTES = 16 << 20  # of text for each bucket of n-grams
 LEAST_BUCKET_BITS = 6
 TEXTS = -1  # bucket of the rows that carry a block's texts
 BEGIN = 1  # stands before the first word of a text
-WORD, CONTEXT, PAIR = 0, 1, 2  # kinds of n-gram, in the two lowest bits of its hash
+WORD, CONTEXT, PAIR = 0, 1, 2  # kinds of n-gram, in the two lowest bits of its name
+NAME_BITS = 40  # within a bucket, some million n-grams: two of them share a name with a probability under 1e-5 each
 SMOOTH, TRUST = 0.5, 2.0
 _ZSTD = pa.Codec("zstd", 1)
 _ROWS = "block bigint, bucket int, size int, data binary, target_words bigint, words bigint, vocabulary bigint"
 
 
 def _packed(*columns: np.ndarray) -> bytes:
-    return _ZSTD.compress(np.concatenate([c.astype(np.int64) for c in columns]).tobytes(), asbytes=True)
+    """Columns of small whole numbers, byte by byte: the bytes that are mostly zero cost nothing."""
+    raw = np.ascontiguousarray(np.stack(columns).astype(np.int64)).view(np.uint8)
+    return _ZSTD.compress(raw.reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes(), asbytes=True)
 
 
 def _unpacked(raw: bytes, size: int, columns: int) -> np.ndarray:
-    return np.frombuffer(_ZSTD.decompress(raw, size * columns * 8, asbytes=True), np.int64).reshape(columns, size)
-
-
-def _runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Text number, word and the word before, for each word; long texts in parts."""
-    for words, first in kernels.slices(column, 1, lower=True):
-        own = words.hashes()
-        doc = np.repeat(np.arange(len(words.first) - 1), words.counts())
-        begins = np.ones(len(own), bool)
-        begins[1:] = doc[1:] != doc[:-1]
-        before = np.zeros(len(own), np.uint64)
-        before[1:] = own[:-1]
-        before[begins] = BEGIN
-        skip = 1 if first and len(own) else 0  # a later part begins with the last word of the one before
-        yield doc[skip:], before[skip:], own[skip:]
-
-
-def _distinct(doc, before, own, count) -> tuple[np.ndarray, ...]:
-    """Each text's distinct word pairs, with how often they stand in it."""
-    pair = kernels.mix(before * np.uint64(kernels.WORD_BASE) + own, 60)
-    order = np.lexsort((pair, doc))
-    doc, pair = doc[order], pair[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])
-    at = np.flatnonzero(new)
-    times = np.add.reduceat(count[order], at) if len(at) else count
-    return doc[at], before[order][at], own[order][at], times
+    flat = np.frombuffer(_ZSTD.decompress(raw, size * columns * 8, asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(columns, 8, size).transpose(0, 2, 1)).view(np.int64)[:, :, 0]
 
 
 class Block:
-    """The n-grams of a block of texts: ``grams`` in order, and each text's pairs as places among them."""
+    """The words of a block of texts, and its n-grams by name.
 
-    def __init__(self, column: pa.Array):
-        parts = [_distinct(d, b, o, np.ones(len(d), np.int64)) for d, b, o in _runs(column)]
-        joined = tuple(np.concatenate(p) for p in zip(*parts))
-        self.doc, before, own, self.count = _distinct(*joined) if len(parts) > 1 else joined
+    A name is the n-gram's bucket and :data:`NAME_BITS` more, so that the names of one bucket tell its n-grams apart however
+    many buckets there are. ``places`` has for each word the places of the word, of the one before as a
+    context, and of the pair among the sorted ``names``.
+    """
+
+    def __init__(self, column: pa.Array, bits: int):
+        parts = [(words.hashes(), words.counts()) for words, _ in kernels.slices(column, 0, lower=True)]
+        own = np.concatenate([hashes for hashes, _ in parts])
         self.texts = len(column)
-        pair = kernels.mix(before * np.uint64(kernels.WORD_BASE) + own, 60)
-        names = [self._named(own, WORD), self._named(before, CONTEXT), self._named(pair, PAIR)]
-        self.grams, places = np.unique(np.concatenate(names), return_inverse=True)
-        self.places = places.reshape(3, -1)
+        self.number = np.sum([counts for _, counts in parts], axis=0) if self.texts == 1 else parts[0][1]
+        self.doc = np.repeat(np.arange(self.texts), self.number)
+        word, words = pd.factorize(own)
+        begins = np.ones(len(own), bool)
+        begins[1:] = self.doc[1:] != self.doc[:-1]
+        context = np.full(len(own), len(words))
+        context[1:] = word[:-1]
+        context[begins] = len(words)
+        pair, pairs = pd.factorize(context * (len(words) + 1) + word)
+        words = np.append(words, np.uint64(BEGIN))
+        first, second = np.divmod(pairs, len(words))
+        pairs = words[first] * np.uint64(kernels.WORD_BASE) + words[second]
+        names = np.concatenate([self._named(v, kind, bits) for kind, v in ((WORD, words[:-1]), (CONTEXT, words), (PAIR, pairs))])
+        order = np.argsort(names, kind="stable")
+        self.names = names[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.places = rank[word], rank[len(words) - 1 + context], rank[2 * len(words) - 1 + pair]
 
     @staticmethod
-    def _named(values: np.ndarray, kind: int) -> np.ndarray:
-        return kernels.mix(values, 70 + kind) & np.uint64(2**64 - 4) | np.uint64(kind)
+    def _named(values: np.ndarray, kind: int, bits: int) -> np.ndarray:
+        name = kernels.mix(values, 70 + kind) >> np.uint64(64 - bits - NAME_BITS)
+        return (name & np.uint64(2**64 - 4) | np.uint64(kind)).astype(np.int64)
 
     def totals(self, chosen: np.ndarray) -> np.ndarray:
-        """How often each of ``grams`` stands in the chosen texts."""
-        weights = np.where(chosen[self.doc], self.count, 0)
-        return sum(np.bincount(p, weights, minlength=len(self.grams)) for p in self.places).astype(np.int64)
+        """How often each n-gram stands in the chosen texts."""
+        there = chosen[self.doc]
+        return sum(np.bincount(p[there], minlength=len(self.names)) for p in self.places)
 
     def own(self) -> list[np.ndarray]:
-        """For each pair, how often its word, its context and the pair itself stand in the pair's own text."""
+        """For each word, how often it, its context and the pair stand in its own text."""
         found = []
-        for kind in (WORD, CONTEXT):
-            _, at = np.unique(self.doc * len(self.grams) + self.places[kind], return_inverse=True)
-            found.append(np.bincount(at, self.count)[at] if len(at) else self.count)
-        return [*found, self.count]
+        for place in self.places:
+            at, _ = pd.factorize(self.doc * len(self.names) + place)
+            found.append(np.bincount(at)[at] if len(at) else at)
+        return found
 
 
 def _asked(bits: int):
@@ -94,20 +92,19 @@ def _asked(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in kernels.blocks(batches, most=BLOCK_BYTES):
-            block = Block(batch.column("text"))
+            block = Block(batch.column("text"), bits)
             target = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
             counts = block.totals(target), block.totals(np.ones(block.texts, bool))
             number = uuid.uuid4().int >> 65  # any number, fixed by what is written
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_batch(batch)
-            buckets, at = np.unique(block.grams >> np.uint64(64 - bits), return_index=True)
-            ends = [*at[1:].tolist(), len(block.grams)]
-            words = int(block.count[target[block.doc]].sum()), int(block.count.sum())
+            words = int(block.number[target].sum()), int(block.number.sum())
             rows = [(number, TEXTS, 0, sink.getvalue().to_pybytes(), *words, 0)]
-            for bucket, start, end in zip(buckets.tolist(), at.tolist(), ends):
-                own = (block.grams[start:end].view(np.int64), counts[0][start:end], counts[1][start:end])
-                rows.append((number, bucket, end - start, _packed(*own), 0, 0, 0))
+            buckets, at = np.unique(block.names >> NAME_BITS, return_index=True)
+            for bucket, start, end in zip(buckets.tolist(), at.tolist(), [*at[1:].tolist(), len(block.names)]):
+                steps = np.diff(block.names[start:end], prepend=bucket << NAME_BITS)
+                rows.append((number, bucket, end - start, _packed(steps, counts[0][start:end], counts[1][start:end]), 0, 0, 0))
             yield _batch(rows)
 
     return run
@@ -124,12 +121,12 @@ def _answered(table: pa.Table) -> pa.Table:
     """The counts in all texts of the n-grams each block asked for in one bucket, in the order it asked."""
     sizes = table.column("size").to_pylist()
     asked = [_unpacked(raw.as_py(), n, 3) for raw, n in zip(table.column("data"), sizes)]
-    grams, target, every = np.concatenate(asked, axis=1)
-    names, at = np.unique(grams.view(np.uint64), return_inverse=True)
+    at, names = pd.factorize(np.concatenate([np.cumsum(steps) for steps, _, _ in asked]))
     totals = []
-    for counts in (target, every):
-        totals.append(np.bincount(at, counts, minlength=len(names))[at])
-    vocabulary = int((names & np.uint64(3) == WORD).sum())
+    for column in (1, 2):
+        counts = np.concatenate([part[column] for part in asked])
+        totals.append(np.bincount(at, counts)[at])
+    vocabulary = int((names & 3 == WORD).sum())
     rows, end = [], 0
     for block, bucket, n in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), sizes):
         rows.append((block, bucket, n, _packed(*(t[end : end + n] for t in totals)), 0, 0, 0 if rows else vocabulary))
@@ -137,31 +134,26 @@ def _answered(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(rows)])
 
 
-def _scored(words: tuple[int, int], vocabulary: int):
+def _scored(bits: int, words: tuple[int, int], vocabulary: int):
     """Mean losses of a block's texts, each under the models of all texts but itself."""
 
     def losses(block: Block, own: list, counts: np.ndarray, total: int, scale: float, held: np.ndarray) -> np.ndarray:
-        number = np.bincount(block.doc, block.count, minlength=block.texts)  # words of each text
-        rest = scale * (total - np.where(held, number, 0))[block.doc]
+        rest = scale * (total - np.where(held, block.number, 0))[block.doc]
         seen = [scale * (counts[p] - np.where(held[block.doc], o, 0)) for p, o in zip(block.places, own)]
         share = (seen[WORD] + SMOOTH) / (rest + SMOOTH * (vocabulary + 1))
         loss = -np.log((seen[PAIR] + TRUST * share) / (seen[CONTEXT] + TRUST))
-        return np.bincount(block.doc, loss * block.count, minlength=block.texts) / np.maximum(number, 1)
+        return np.bincount(block.doc, loss, minlength=block.texts) / np.maximum(block.number, 1)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
-        texts = pa.ipc.open_stream(table.column("data")[0].as_py()).read_all().combine_chunks()
-        ids, column = texts.column("doc_id").combine_chunks(), texts.column("text").combine_chunks()
+        sizes, data = table.column("size").to_pylist(), table.column("data")
+        texts = pa.ipc.open_stream(data[0].as_py()).read_all()
         target = texts.column("is_target").to_numpy().astype(bool)
-        block = Block(column)
-        parts = [
-            _unpacked(raw.as_py(), n, 2)
-            for raw, n in zip(table.column("data")[1:], table.column("size").to_pylist()[1:])
-        ]
-        counts = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
-        number = np.bincount(block.doc, block.count, minlength=block.texts).astype(np.int64)
+        block = Block(texts.column("text").combine_chunks(), bits)
+        answers = [_unpacked(data[i].as_py(), sizes[i], 2) for i in range(1, len(sizes))]
+        counts = np.concatenate(answers, axis=1) if answers else np.zeros((2, 0), np.int64)
+        own, number = block.own(), block.number
         scale = words[1] / words[0] if words[0] else 0.0
-        own = block.own()
         means = [
             losses(block, own, counts[0], words[0], scale, target),
             losses(block, own, counts[1], words[1], 1.0, np.ones(block.texts, bool)),
@@ -169,7 +161,7 @@ def _scored(words: tuple[int, int], vocabulary: int):
         none = (number == 0) | (not words[0])
         values = [pa.array(v, pa.float64(), mask=none) for v in (*means, means[0] - means[1])]
         return pa.Table.from_arrays(
-            [ids.cast(pa.int64()), pa.array(number), *values],
+            [texts.column("doc_id").cast(pa.int64()), pa.array(number, pa.int64()), *values],
             ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
         )
 
@@ -207,6 +199,6 @@ def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
     vocabulary = answers.agg(F.coalesce(F.sum("vocabulary"), F.lit(0))).first()[0]
     both = asked.where(F.col("bucket") == TEXTS).union(answers).select("block", "bucket", "size", "data")
     return both.groupBy("block").applyInArrow(
-        _scored(tuple(words), vocabulary),
+        _scored(bits, tuple(words), vocabulary),
         "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double",
     )
