@@ -23,7 +23,8 @@ WORD, CONTEXT, PAIR = 0, 1, 2  # kinds of n-gram, in the two lowest bits of its
 NAME_BITS = 40  # within a bucket, some million n-grams: two of them share a name with a probability under 1e-5 each
 SMOOTH, TRUST = 0.5, 2.0
 _ZSTD = pa.Codec("zstd", 1)
-_ROWS = "block bigint, bucket int, size int, data binary, target_words bigint, words bigint, vocabulary bigint"
+_ROWS = "block bigint, bucket int, size int, data binary"
+_ANSWERS = f"{_ROWS}, target_words bigint, words bigint, vocabulary bigint"
 
 
 def _packed(*columns: np.ndarray) -> bytes:
@@ -87,32 +88,43 @@ class Block:
         return found
 
 
+def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts in blocks, a row for each; its number is any, and fixed by what is written."""
+    for batch in kernels.blocks(batches, most=BLOCK_BYTES):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(batch)
+        yield _batch([(uuid.uuid4().int >> 65, TEXTS, 0, sink.getvalue().to_pybytes())])
+
+
+def _texts(raw: pa.Scalar) -> tuple[pa.Table, np.ndarray]:
+    """Rows of a block, and which of them are of the target corpus."""
+    texts = pa.ipc.open_stream(raw.as_py()).read_all().combine_chunks()
+    return texts, texts.column("is_target").to_numpy().astype(bool)
+
+
 def _asked(bits: int):
-    """Blocks of texts: one row with the texts, and one for each bucket of their n-grams with both counts."""
+    """For each block and bucket its n-grams there, with how often they stand in the block, of both corpora."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in kernels.blocks(batches, most=BLOCK_BYTES):
-            block = Block(batch.column("text"), bits)
-            target = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            counts = block.totals(target), block.totals(np.ones(block.texts, bool))
-            number = uuid.uuid4().int >> 65  # any number, fixed by what is written
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                writer.write_batch(batch)
-            words = int(block.number[target].sum()), int(block.number.sum())
-            rows = [(number, TEXTS, 0, sink.getvalue().to_pybytes(), *words, 0)]
-            buckets, at = np.unique(block.names >> NAME_BITS, return_index=True)
-            for bucket, start, end in zip(buckets.tolist(), at.tolist(), [*at[1:].tolist(), len(block.names)]):
-                steps = np.diff(block.names[start:end], prepend=bucket << NAME_BITS)
-                rows.append((number, bucket, end - start, _packed(steps, counts[0][start:end], counts[1][start:end]), 0, 0, 0))
-            yield _batch(rows)
+        for batch in batches:
+            for number, raw in zip(batch.column("block").to_pylist(), batch.column("data")):
+                texts, target = _texts(raw)
+                block = Block(texts.column("text").combine_chunks(), bits)
+                counts = block.totals(target), block.totals(np.ones(block.texts, bool))
+                buckets, at = np.unique(block.names >> NAME_BITS, return_index=True)
+                rows = []
+                for bucket, start, end in zip(buckets.tolist(), at.tolist(), [*at[1:].tolist(), len(block.names)]):
+                    steps = np.diff(block.names[start:end], prepend=bucket << NAME_BITS)
+                    rows.append((number, bucket, end - start, _packed(steps, counts[0][start:end], counts[1][start:end])))
+                yield _batch(rows)
 
     return run
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["block", "bucket", "size", "data", "target_words", "words", "vocabulary"]
+def _batch(rows: list[tuple], totals: int = 0) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * totals]
+    names = ["block", "bucket", "size", "data", "target_words", "words", "vocabulary"][: len(kinds)]
     columns = list(zip(*rows)) or [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -122,16 +134,19 @@ def _answered(table: pa.Table) -> pa.Table:
     sizes = table.column("size").to_pylist()
     asked = [_unpacked(raw.as_py(), n, 3) for raw, n in zip(table.column("data"), sizes)]
     at, names = pd.factorize(np.concatenate([np.cumsum(steps) for steps, _, _ in asked]))
-    totals = []
+    word = names & 3 == WORD
+    totals, sums = [], []
     for column in (1, 2):
-        counts = np.concatenate([part[column] for part in asked])
-        totals.append(np.bincount(at, counts)[at])
-    vocabulary = int((names & 3 == WORD).sum())
+        found = np.bincount(at, np.concatenate([part[column] for part in asked])).astype(np.int64)
+        sums.append(int(found[word].sum()))
+        totals.append(found[at])
+    sums.append(int(word.sum()))
     rows, end = [], 0
     for block, bucket, n in zip(table.column("block").to_pylist(), table.column("bucket").to_pylist(), sizes):
-        rows.append((block, bucket, n, _packed(*(t[end : end + n] for t in totals)), 0, 0, 0 if rows else vocabulary))
+        own = sums if not rows else (0, 0, 0)  # the bucket's words, with its first row
+        rows.append((block, bucket, n, _packed(*(t[end : end + n] for t in totals)), *own))
         end += n
-    return pa.Table.from_batches([_batch(rows)])
+    return pa.Table.from_batches([_batch(rows, totals=3)])
 
 
 def _scored(bits: int, words: tuple[int, int], vocabulary: int):
@@ -147,8 +162,7 @@ def _scored(bits: int, words: tuple[int, int], vocabulary: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("bucket")
         sizes, data = table.column("size").to_pylist(), table.column("data")
-        texts = pa.ipc.open_stream(data[0].as_py()).read_all()
-        target = texts.column("is_target").to_numpy().astype(bool)
+        texts, target = _texts(data[0])
         block = Block(texts.column("text").combine_chunks(), bits)
         answers = [_unpacked(data[i].as_py(), sizes[i], 2) for i in range(1, len(sizes))]
         counts = np.concatenate(answers, axis=1) if answers else np.zeros((2, 0), np.int64)
@@ -193,11 +207,12 @@ def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     size = ids.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = max(LEAST_BUCKET_BITS, int(np.ceil(np.log2(max(size, 1) / BUCKET_BYTES))))
-    asked = stage(rows.mapInArrow(_asked(bits), _ROWS), "grams")
-    answers = stage(asked.where(F.col("bucket") != TEXTS).groupBy("bucket").applyInArrow(_answered, _ROWS), "counts")
-    words = asked.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("target_words", "words")]).first()
-    vocabulary = answers.agg(F.coalesce(F.sum("vocabulary"), F.lit(0))).first()[0]
-    both = asked.where(F.col("bucket") == TEXTS).union(answers).select("block", "bucket", "size", "data")
+    blocks = stage(rows.mapInArrow(_stored, _ROWS), "blocks")
+    asked = blocks.select("block", "data").mapInArrow(_asked(bits), _ROWS)
+    answers = stage(asked.groupBy("bucket").applyInArrow(_answered, _ANSWERS), "counts")
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("target_words", "words", "vocabulary")]
+    *words, vocabulary = answers.agg(*sums).first()
+    both = blocks.union(answers.select(*blocks.columns))
     return both.groupBy("block").applyInArrow(
         _scored(bits, tuple(words), vocabulary),
         "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, difference double",
