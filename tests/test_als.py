@@ -202,3 +202,9 @@ def test_ranges_go_on_where_they_stopped(spark, coded, model, tmp_path, monkeypa
     assert sorted(whole.collect()) == sorted(als.recommend_all_users(model, coded, 3).collect())
     with pytest.raises(ValueError):
         als.recommend_in_ranges(model, coded, folder, 4, users_per_range=6)
+
+
+def test_a_side_of_few_keys_gets_few_blocks(model):
+    """Factors of the other side are sent to each block: 15 items take two blocks, 20 users three."""
+    assert (model.itemFactors.rdd.getNumPartitions(), model.userFactors.rdd.getNumPartitions()) == (2, 3)
+    assert [als.block_count(n) for n in (0, 1, 25, 128, 900_000, 5_400_000)] == [1, 1, 4, 16, 16, 54]

@@ -6,6 +6,7 @@ which come from :mod:`tidemill.functions.ids`.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
@@ -36,6 +37,8 @@ ITERATIONS = 10
 REGULARIZATION = 0.0001
 TOP = 5
 BLOCKS = 16
+# A side of few keys gets fewer blocks than that, one of very many more.
+LEAST_KEYS_PER_BLOCK, MOST_KEYS_PER_BLOCK = 8, 100_000
 GRID_RANKS = (10, 50)
 GRID_REGULARIZATIONS = (1.0, 0.01, 0.0001)
 GRID_ALPHAS = (1.0, 40.0)
@@ -77,6 +80,17 @@ def code_ratings(ratings: DataFrame) -> CodedRatings:
     return CodedRatings(stage(coded, "coded-ratings"), users, items)
 
 
+def block_count(keys: int) -> int:
+    """Blocks of a side of the ratings with that many users or items.
+
+    A user's factors are sent once to every block with an item of the user, in every iteration. With few items that
+    is all blocks, so they get few of them.
+    """
+    if keys < BLOCKS * LEAST_KEYS_PER_BLOCK:
+        return max(1, math.ceil(keys / LEAST_KEYS_PER_BLOCK))
+    return max(BLOCKS, math.ceil(keys / MOST_KEYS_PER_BLOCK))
+
+
 def fit(
     coded: CodedRatings,
     rank: int = RANK,
@@ -85,12 +99,12 @@ def fit(
     implicit: bool = False,
     alpha: float = 1.0,
     seed: int = 7,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> ALSModel:
     """Fit a factor model, explicit or implicit.
 
-    ``blocks`` is the number of user and of item blocks. It seeds the factors, so the default is fixed and
-    not a property of the cluster; large inputs want more. The solver cuts its lineage every few
+    ``blocks`` is the number of user and of item blocks. It seeds the factors, so the default comes from the number of
+    users and of items (:func:`block_count`) and not from the cluster. The solver cuts its lineage every few
     iterations through the context's checkpoint folder.
     """
     spark = coded.ratings.sparkSession
@@ -105,8 +119,8 @@ def fit(
         implicitPrefs=implicit,
         alpha=alpha,
         seed=seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=blocks or block_count(coded.users.count()),
+        numItemBlocks=blocks or block_count(coded.items.count()),
         checkpointInterval=5,
         coldStartStrategy="drop",
     )
