@@ -105,3 +105,14 @@ def test_looking_for_heavy_keys_does_not_shuffle_rows_by_key(spark, tmp_path):
     assert skew.heavy_in_table(df, "k", 10_000) is None
     plan = frequent.frequent_keys(df, "k", 1_000, df.count())._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan  # what is grouped are rows of the named keys
+
+
+def test_counters_are_merged_seldom(monkeypatch):
+    """A batch of new keys does not go through all counters again: merges are as many as the rows double."""
+    batches = [pa.record_batch({"k": pa.array([f"k{n}" for n in range(at, at + 500)])}) for at in range(0, 20_000, 500)]
+    merged, whole = [], pa.concat_tables
+    monkeypatch.setattr(frequent, "MERGED_ROWS", 500)
+    monkeypatch.setattr(frequent.pa, "concat_tables", lambda tables: merged.append(sum(map(len, tables))) or whole(tables))
+    found = list(frequent._summary(1e-5)(iter(batches)))
+    assert sum(map(len, found)) == 20_000
+    assert 0 < len(merged) < 10 and sum(merged) < 4 * 20_000

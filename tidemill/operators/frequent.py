@@ -6,7 +6,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.session import stage
 
+MERGED_ROWS = 65_536
 LEAST_SHARE = 1e-5  # keys with a smaller share of the rows are never asked for
 
 
@@ -26,25 +26,34 @@ def _summary(share: float):
     """
     most = math.ceil(4 / share)
 
+    def summed(held: pa.Table | None, waiting: list[pa.Array]) -> pa.Table:
+        counted = pc.value_counts(pa.chunked_array(waiting).drop_null())
+        own = pa.table({"key": counted.field("values"), "n": counted.field("counts")})
+        both = own if held is None else pa.concat_tables([held, own])
+        return both.group_by("key").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, cut, kind = None, 0, 0, None
+        held, rows, cut = None, 0, 0
+        waiting, more = [], 0
         for batch in batches:
-            column = batch.column(0)
-            kind = column.type
-            rows += len(column)
-            counted = pc.value_counts(column.drop_null())
-            own = pd.Series(counted.field("counts").to_numpy(), index=pd.Index(counted.field("values").to_pylist()), dtype=np.int64)
-            held = own if held is None else held.add(own, fill_value=0).astype(np.int64)
+            waiting.append(batch.column(0))
+            rows, more = rows + len(batch), more + len(batch)
+            # As many rows as there are counters: putting them in costs no more for each row the more counters there are.
+            if more < max(MERGED_ROWS, len(held or ())):
+                continue
+            held, waiting, more = summed(held, waiting), [], 0
             if len(held) > 2 * most:
-                least = int(np.partition(held.to_numpy(), len(held) - most - 1)[len(held) - most - 1])
-                held = held[held > least] - least
+                n = held["n"].to_numpy()
+                least = int(np.partition(n, len(n) - most - 1)[len(n) - most - 1])
+                held = held.filter(pa.array(n > least))
+                held = held.set_column(1, "n", pa.array(held["n"].to_numpy() - least))
                 cut += least
+        if waiting:
+            held = summed(held, waiting)
         if held is None:
             return
-        found = held[held + cut > share * rows]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found.index.tolist(), kind), pa.array(found.to_numpy(), pa.int64())], ["key", "n"]
-        )
+        found = held.filter(pa.array(held["n"].to_numpy() + cut > share * rows))
+        yield from found.select(["key", "n"]).combine_chunks().to_batches()
 
     return run
 
