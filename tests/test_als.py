@@ -208,3 +208,10 @@ def test_a_side_of_few_keys_gets_few_blocks(model):
     """Factors of the other side are sent to each block: 15 items take two blocks, 20 users three."""
     assert (model.itemFactors.rdd.getNumPartitions(), model.userFactors.rdd.getNumPartitions()) == (2, 3)
     assert [als.block_count(n) for n in (0, 1, 25, 128, 900_000, 5_400_000)] == [1, 1, 4, 16, 16, 54]
+
+
+def test_shuffled_factors_are_let_go_after_two_iterations(coded, monkeypatch):
+    asked, solver = {}, als.ALS
+    monkeypatch.setattr(als, "ALS", lambda **settings: asked.update(settings) or solver(**settings))
+    als.fit(coded, rank=2, iterations=2)
+    assert asked["checkpointInterval"] == 2 and (asked["numUserBlocks"], asked["numItemBlocks"]) == (3, 2)

@@ -37,6 +37,8 @@ ITERATIONS = 10
 REGULARIZATION = 0.0001
 TOP = 5
 BLOCKS = 16
+# Iterations whose shuffled factors may be on disk at once: a checkpoint lets those before it go.
+CHECKPOINT_EVERY = 2
 # A side of few keys gets fewer blocks than that, one of very many more.
 LEAST_KEYS_PER_BLOCK, MOST_KEYS_PER_BLOCK = 8, 100_000
 GRID_RANKS = (10, 50)
@@ -121,7 +123,7 @@ def fit(
         seed=seed,
         numUserBlocks=blocks or block_count(coded.users.count()),
         numItemBlocks=blocks or block_count(coded.items.count()),
-        checkpointInterval=5,
+        checkpointInterval=CHECKPOINT_EVERY,
         coldStartStrategy="drop",
     )
     return solver.fit(coded.ratings.select("user_code", "item_code", "rating"))
