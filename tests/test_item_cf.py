@@ -1,4 +1,5 @@
 import math
+import re
 import random
 from collections import defaultdict
 from itertools import product
@@ -231,3 +232,33 @@ def test_from_text(spark, tmp_path):
     results = item_cf.item_cf_from_text(spark, str(tmp_path / "prefs"))
     assert results["similarities"].count() == 10
     assert results["recommendations"].count() == 11
+
+
+@pytest.mark.parametrize("method", ["cooccurrence", "cosine", "euclidean"])
+@pytest.mark.parametrize("sizes", [{}, {"items_per_block": 3, "rows_per_slice": 4, "pairs_per_task": 40}])
+def test_items_that_seldom_meet_are_gathered(spark, method, sizes):
+    data = random_prefs(seed=3, users=30, items=60, repeats=True)
+    cells = stage(similarity.rating_cells(spark.createDataFrame(data, schemas.PREFS)), "cells")
+    for by_item in (False, True):
+        df = similarity.similarity_of_cells(cells, method, by_item=by_item, **sizes)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION_BY_NUM" in plan and not re.search(r"Exchange hashpartitioning\(item_id1#\d+, item_id2", plan)
+        assert similar(df) == pytest.approx(brute_force(data, method))
+
+
+def test_nearest_items_move_no_pairs(spark):
+    data = random_prefs(seed=5, users=30, items=60, repeats=True)
+    prefs = spark.createDataFrame(data, schemas.PREFS)
+    found = similarity.nearest_items(prefs, 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(item_id[12]", plan)) == 1
+    assert similar(found) == similar(similarity.nearest(similarity.item_similarity(prefs), 4))
+
+
+def test_parts_give_all_their_pairs(spark, small):
+    from tidemill.catalog import recommend
+
+    found = recommend.sim_cooccurrence_parts(spark, small)
+    assert found.columns == ["item_id1", "item_id2", "similar"]
+    pairs = set(similar(found))
+    assert len(pairs) == found.count() and all((j, i) in pairs for i, j in pairs)
