@@ -116,3 +116,26 @@ def test_counters_are_merged_seldom(monkeypatch):
     found = list(frequent._summary(1e-5)(iter(batches)))
     assert sum(map(len, found)) == 20_000
     assert 0 < len(merged) < 10 and sum(merged) < 4 * 20_000
+
+
+def test_keys_above_equal_the_counts(spark, monkeypatch):
+    """Also where keys share a bucket, and where a bucket is above the threshold and none of its keys."""
+    pick = random.Random(9)
+    keys = [i % 7 for i in range(3_000)] + [10 + pick.randrange(4_000) for _ in range(6_000)] + [5_000] * 400 + [None] * 900
+    numbers = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(6)
+    for kind, fewest in (("bigint", 4_096), ("string", 4_096), ("bigint", 3)):
+        monkeypatch.setattr(frequent, "LEAST_BUCKETS", fewest)
+        df = numbers.select(F.col("k").cast(kind).alias("k"))
+        for least in (20, 300, 420):
+            found = frequent.keys_above(df, "k", least, len(keys))
+            exact = df.where("k is not null").groupBy("k").count().where(f"count > {least}")
+            assert sorted(map(tuple, found.collect())) == sorted(map(tuple, exact.collect()))
+        assert frequent.keys_above(df, "k", 10_000, len(keys)) is None
+
+
+def test_a_table_without_heavy_keys_is_not_sent_to_python(spark, tmp_path, monkeypatch):
+    """Keys are counted by hash bucket where they are read; before, every row went to a Python worker."""
+    path = str(tmp_path / "t")
+    spark.range(20_000).select((F.col("id") % 9_000).alias("k")).write.parquet(path)
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda *a, **b: pytest.fail("rows sent to Python"))
+    assert skew.heavy_in_table(spark.read.parquet(path), "k", 1_000) is None

@@ -16,6 +16,7 @@ from tidemill.session import stage
 
 MERGED_ROWS = 65_536
 LEAST_SHARE = 1e-5  # keys with a smaller share of the rows are never asked for
+LEAST_BUCKETS = 4_096
 
 
 def _summary(share: float):
@@ -74,3 +75,21 @@ def frequent_keys(df: DataFrame, key: str, more_than: int, rows: int) -> DataFra
     counted = df.select(key).join(F.broadcast(candidates) if few else candidates, key, "left_semi")
     counted = counted.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
     return counted.where(F.col("n") > max(more_than, math.floor(share * rows)))
+
+
+def keys_above(df: DataFrame, key: str, more_than: int, rows: int) -> DataFrame | None:
+    """What :func:`frequent_keys` finds, for a threshold that few keys or none reach; None when no key can.
+
+    Rows are counted by hash buckets of the key, several for each key that can be above the threshold. A key is no larger than its bucket,
+    so only rows of the buckets above it are counted by key; mostly there are none, and all is one pass that keeps some thousand counters.
+    """
+    least = max(more_than, math.floor(max(more_than / max(rows, 1), LEAST_SHARE) * rows))
+    buckets = max(LEAST_BUCKETS, math.ceil(16 * rows / max(least, 1)))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    named = df.where(F.col(key).isNotNull())
+    sizes = named.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("n"))
+    large = stage(sizes.where(F.col("n") > least).select("_bucket"), "large-buckets")
+    if large.isEmpty():
+        return None
+    counted = named.select(key).withColumn("_bucket", bucket).join(F.broadcast(large), "_bucket", "left_semi")
+    return counted.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where(F.col("n") > least)

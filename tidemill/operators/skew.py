@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.frequent import frequent_keys
+from tidemill.operators.frequent import keys_above
 from tidemill.session import stage
 
 ROWS_PER_SLICE = 2_000_000
@@ -46,14 +46,16 @@ def heavy_in_table(df: DataFrame, key: str, rows_per_slice: int) -> DataFrame |
 
     Knowing that no key is heavy leaves the join a plain one. Counting the rows of a table takes
     its file footers only, and settles the question for tables no larger than one slice. In larger
-    ones summaries of the tasks name the keys that may be heavy and only those are counted, so a
+    ones hash buckets of the keys are counted and only keys of large buckets are counted singly, so a
     nearly unique key is not shuffled to learn that it is one. A table is cut into 100,000 slices
     at most: keys below that share of it are not heavy.
     """
     rows = df.count()
     if rows <= rows_per_slice:
         return None
-    keys = frequent_keys(df, key, rows_per_slice, rows)
+    keys = keys_above(df, key, rows_per_slice, rows)
+    if keys is None:
+        return None
     wanted = F.ceil(F.col("n") / F.lit(rows_per_slice)).cast("bigint")
     keys = stage(keys.select(F.col("key").alias("_heavy_key"), wanted.alias("_slices")), "heavy-keys")
     return None if keys.isEmpty() else keys
