@@ -435,3 +435,14 @@ def test_short_texts_that_differ_in_a_word_are_alike(spark):
     assert digest.likeness(prints[4], prints[5]) == 1 and digest.likeness(prints[4], prints[6]) == 0
     rows = {r.doc_id: r for r in digest.fingerprint_documents(docs).collect()}
     assert rows[2].near_next > 0.5 and 0 < rows[1].near_edited < 1
+
+
+def test_what_a_worker_keeps_of_a_block_is_little():
+    """Tables of powers stay with a worker for its life; before, they had 32 bytes for each byte of a full block."""
+    kernels._POWERS.clear()
+    text = "word " * (kernels.BLOCK_BYTES // 5 + 100)
+    kernels.Words(pa.array([text])).hashes()
+    kept = sum(table.nbytes for tables in kernels._POWERS.values() for table in tables)
+    assert len(text) * 16 <= kept <= 10 << 20
+    up, down = kernels.powers(kernels.BYTE_BASE, 3)
+    assert up.tolist() == [1, kernels.BYTE_BASE, kernels.BYTE_BASE**2 % 2**64] and int(up[2]) * int(down[2]) % 2**64 == 1

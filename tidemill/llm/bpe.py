@@ -14,7 +14,7 @@ import pyarrow as pa
 from tidemill.llm import kernels
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 24 << 20
 SLICE_BYTES = 1 << 20  # longer texts are encoded in parts
 _ENTRY = 110  # bytes that a known piece takes beside its ids
 

@@ -18,8 +18,9 @@ from pyspark.sql import SparkSession
 
 # Bytes between words: space and the five ASCII controls from tab to carriage return.
 SEPARATORS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
-BLOCK_BYTES = 1 << 20
-BATCH_ROWS = 1_000  # texts that are handed to Python at once
+BLOCK_BYTES = 1 << 19
+BATCH_ROWS = 500  # texts that are handed to Python at once
+_POWER_STEP = 1 << 16
 
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(SEPARATORS)] = True
@@ -42,7 +43,7 @@ def powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``count`` powers of an odd base modulo 2**64, and of its inverse."""
     found = _POWERS.get(base)
     if found is None or len(found[0]) < count:
-        size = 1 << max(10, (count - 1).bit_length())
+        size = -(-count // _POWER_STEP) * _POWER_STEP  # they stay with the worker: not doubled to be sure
         tables = []
         for factor in (base, pow(base, -1, 2**64)):
             steps = np.full(size, factor, np.uint64)
@@ -81,7 +82,7 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python a thousand at a time, where the submitter has not set a number.
+    """Hand texts to Python :data:`BATCH_ROWS` at a time, where the submitter has not set a number.
 
     Spark's own ten thousand make buffers of tens of megabytes of text on both sides of every running task, which
     its executors keep. The setting stays with the session, since plans are run after the operators have returned.
