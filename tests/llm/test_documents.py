@@ -446,3 +446,36 @@ def test_what_a_worker_keeps_of_a_block_is_little():
     assert len(text) * 16 <= kept <= 10 << 20
     up, down = kernels.powers(kernels.BYTE_BASE, 3)
     assert up.tolist() == [1, kernels.BYTE_BASE, kernels.BYTE_BASE**2 % 2**64] and int(up[2]) * int(down[2]) % 2**64 == 1
+
+
+def test_fingerprints_of_many_short_texts_cost_one_pass(monkeypatch):
+    """Before, every short text of a block asked for hashes of its own, and large blocks made tables of powers for each."""
+    rng = np.random.default_rng(5)
+    texts = ["", "a", "short text", "sev seven"[:7], "x" * 600, "é" * 300, "the same " * 80]
+    texts += ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(0, 700, 300)]
+    texts += ["".join(map(chr, rng.integers(97, 123, n))) for n in (5_000, 40_000, 63, 64, 65, 511, 512, 513)]
+    ranks = np.arange(digest.LEVELS + 1)[::-1].copy()
+    ranks[: digest.WEAK + 1] = digest.LEVELS + 1
+    alone = [digest.fingerprints(pa.array([t], pa.large_string()), ranks)[0] for t in texts]
+    asked, own = [], kernels.span_hash
+    monkeypatch.setattr(kernels, "span_hash", lambda *given: asked.append(1) or own(*given))
+    together = digest.fingerprints(pa.array(texts, pa.large_string()), ranks)
+    assert len(asked) <= 2
+    monkeypatch.setattr(digest, "_PLACE_BITS", 4)
+    wide = digest.fingerprints(pa.array(texts, pa.large_string()), ranks)
+    for prints in (together, wide):
+        assert all(np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]) for a, b in zip(alone, prints, strict=True))
+    pairs = list(zip(alone, alone[1:] + alone[:1]))
+    assert digest.likenesses(*zip(*pairs)) == [digest.likeness(a, b) for a, b in pairs]
+
+
+def test_entropies_are_those_of_each_window():
+    rng = np.random.default_rng(6)
+    data = np.concatenate((rng.integers(0, 256, 3_000), rng.integers(97, 100, 40_000), np.zeros(200))).astype(np.uint8)
+    found = digest.entropies(data)
+    assert len(found) == len(data) - 63 and len(digest.entropies(data[:63])) == 0 and len(digest.entropies(data[:64])) == 1
+    for at in [0, 1, 2_950, 3_000, 32_767, 32_768, 32_769, len(found) - 1, *rng.integers(0, len(found), 200).tolist()]:
+        counts = np.bincount(data[at : at + 64])
+        counts = counts[counts > 0]
+        bits = 6 - (counts * np.log2(counts)).sum() / 64
+        assert abs(found[at] - bits * 1000 / 6) <= 0.51

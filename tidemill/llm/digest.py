@@ -23,8 +23,9 @@ FILTER_BITS, HASHES, FILTER_FEATURES = 2048, 5, 160
 LEVELS = 1000  # steps of entropy between 0 and the most that a window can have
 WEAK = 100  # steps of entropy at and below which a window is no feature
 RANGE_ROWS, MAX_RANGES = 4_000, 100_000
-_LANES = 4096
-READY_CHARS = 1 << 20  # of texts whose fingerprints are made together
+READY_CHARS = 1 << 18  # of texts whose fingerprints are made together
+_STRETCH = 1 << 15  # windows whose entropies are made together
+_PLACE_BITS = 22  # of a number that has a place below a rank, where that many are enough
 
 _COUNTS = np.arange(WINDOW + 2, dtype=float)
 _TERMS = np.zeros(WINDOW + 2)
@@ -34,43 +35,32 @@ _GAIN = np.diff(_TERMS)  # of one more equal byte
 
 
 def entropies(data: np.ndarray) -> np.ndarray:
-    """Entropy step of every window of :data:`WINDOW` bytes, kept up to date byte by byte.
+    """Entropy step of every window of :data:`WINDOW` bytes.
 
-    The bytes are cut into lanes that are walked side by side. Sums are whole numbers, so equal windows
-    have equal entropy wherever they stand.
+    A byte that comes into a window, or leaves it, changes the window's sum by the gain of its count among the other bytes
+    there. These counts are sums of comparisons of the bytes with themselves, shifted. Sums are whole numbers, so equal
+    windows have equal entropy wherever they stand.
     """
-    count = len(data) - WINDOW + 1
-    if count <= 0:
-        return np.zeros(0, np.int16)
-    length = max(256, -(-count // _LANES))
-    lanes = -(-count // length)
-    padded = np.zeros(lanes * length + WINDOW - 1, np.uint8)
-    padded[: len(data)] = data
-    at = np.arange(lanes) * length
-    steps = np.lib.stride_tricks.sliding_window_view(padded, length + WINDOW - 1)[at]
-    columns = np.ascontiguousarray(steps.T).astype(np.int64) + np.arange(lanes) * 256
-    seen = np.zeros(lanes * 256, np.int64)
-    total = np.zeros(lanes, np.int64)
-    sums = np.empty((length, lanes), np.int64)
-    for step in range(length + WINDOW - 1):
-        new = columns[step]
-        held = seen[new]
-        total += _GAIN[held]
-        seen[new] = held + 1
-        if step >= WINDOW - 1:
-            sums[step - WINDOW + 1] = total
-            old = columns[step - WINDOW + 1]
-            held = seen[old] - 1
-            total -= _GAIN[held]
-            seen[old] = held
-    bits = math.log2(WINDOW) - sums.T.reshape(-1)[:count] / (2**20 * WINDOW)
-    return np.clip(np.round(bits * LEVELS / math.log2(WINDOW)), 0, LEVELS).astype(np.int16)
-
-
-def _inside(bounds: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Text number of every window, and whether it ends in the text it begins in."""
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:count]
-    return doc, np.arange(count) + WINDOW <= bounds[doc + 1]
+    count = max(0, len(data) - WINDOW + 1)
+    found = np.empty(count, np.int16)
+    for at in range(0, count, _STRETCH):
+        part = np.ascontiguousarray(data[at : at + _STRETCH + WINDOW - 1])
+        before, after = np.zeros(len(part), np.uint8), np.zeros(len(part), np.uint8)
+        equal = np.empty(len(part), bool)
+        for shift in range(1, WINDOW):
+            same = np.equal(part[shift:], part[:-shift], out=equal[shift:]).view(np.uint8)
+            before[shift:] += same
+            after[:-shift] += same
+        sums = np.cumsum(_GAIN[before])[WINDOW - 1 :]
+        sums[1:] -= np.cumsum(_GAIN[after[: len(sums) - 1]])
+        bits = math.log2(WINDOW) - sums / (2**20 * WINDOW)
+        found[at : at + len(sums)] = np.clip(np.round(bits * LEVELS / math.log2(WINDOW)), 0, LEVELS)
+    return found
+
+
+def _ends(bounds: np.ndarray, count: int) -> np.ndarray:
+    """Where the text ends that each of the first ``count`` bytes stands in."""
+    return np.repeat(bounds[1:], np.diff(bounds))[:count]
 
 
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +68,7 @@ def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in kernels.blocks(batches, most=4 * READY_CHARS):
         data, bounds = kernels.text_buffer(batch.column("text"))
         level = entropies(data)
-        _, inside = _inside(bounds, len(level))
+        inside = np.arange(WINDOW, len(level) + WINDOW) <= _ends(bounds, len(level))
         total += np.bincount(level[inside], minlength=LEVELS + 1)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS + 1)), pa.array(total)], ["level", "n"])
 
@@ -104,51 +94,72 @@ def fingerprints(column: pa.Array, ranks: np.ndarray) -> list[tuple[np.ndarray,
     single feature, all of it; an empty text has no filter.
     """
     data, bounds = kernels.text_buffer(column)
-    level = entropies(data)
-    doc, inside = _inside(bounds, len(level))
-    rank = np.where(inside, ranks[level], LEVELS + 2)
-    places = np.arange(len(rank))
-    own = rank * 2**40 + places
-    rows, names = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sums = kernels.prefix(kernels.BYTE_VALUES[data], kernels.BYTE_BASE)
-    if len(own):
-        # runs are cut at the end of a text: windows there get places that never win
-        least = kernels.sliding_min(np.concatenate((own, np.full(WINDOW - 1, 2**62))), WINDOW)[: len(own)]
-        winner = least & (2**40 - 1)
-        real = inside & (least < (LEVELS + 1) * 2**40) & (doc[np.minimum(winner, len(doc) - 1)] == doc)
-        won = np.bincount(winner[real], minlength=len(own))
-        rows = np.flatnonzero(won >= POPULAR)
-        names = kernels.mix(kernels.span_hash(sums, rows, rows + WINDOW, kernels.BYTE_BASE), 50)
-    first = np.searchsorted(rows, bounds)
-    raw, out = data.tobytes(), []
-    for text, (s, e) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-        mine, size = names[s:e], int(bounds[text + 1] - bounds[text])
-        if SMALL <= size and (size <= SHORT or not len(mine)):
-            at = np.arange(bounds[text], bounds[text + 1] - SMALL + 1)
-            mine = kernels.mix(kernels.span_hash(sums, at, at + SMALL, kernels.BYTE_BASE), 51)
-        elif not len(mine) and size:
-            whole = hashlib.sha256(raw[bounds[text] : bounds[text + 1]]).digest()
-            mine = np.frombuffer(whole[:8], np.uint64)
-        mine = mine[np.sort(np.unique(mine, return_index=True)[1])]
-        filters = -(-len(mine) // FILTER_FEATURES)
-        bits = np.zeros((filters, FILTER_BITS), bool)
-        place = np.arange(len(mine)) // FILTER_FEATURES
-        for turn in range(HASHES):
-            bits[place, (mine >> np.uint64(11 * turn)).astype(np.int64) % FILTER_BITS] = True
-        out.append((np.packbits(bits, axis=1), np.bincount(place, minlength=filters)))
-    return out
-
-
-_ONES = np.array([bin(x).count("1") for x in range(256)], np.int64)
+    rows = _rare(data, bounds, ranks)
+    names = kernels.mix(kernels.span_hash(sums, rows, rows + WINDOW, kernels.BYTE_BASE), 50)
+    size, rare = np.diff(bounds), np.diff(np.searchsorted(rows, bounds))
+    small = (size >= SMALL) & ((size <= SHORT) | (rare == 0))
+    tiny = np.flatnonzero((size > 0) & ~small & (rare == 0))
+    # features of all texts: rare windows, all windows of small texts, and whole texts, in their order
+    text = np.repeat(np.arange(len(size)), rare)
+    large = ~small[text]
+    windows = np.where(small, size - SMALL + 1, 0)
+    at = np.arange(windows.sum()) + np.repeat(bounds[:-1] - (np.cumsum(windows) - windows), windows)
+    raw = [hashlib.sha256(data[bounds[i] : bounds[i + 1]].tobytes()).digest()[:8] for i in tiny.tolist()]
+    text = np.concatenate((text[large], np.repeat(np.arange(len(size)), windows), tiny))
+    names = np.concatenate(
+        (names[large], kernels.mix(kernels.span_hash(sums, at, at + SMALL, kernels.BYTE_BASE), 51), np.frombuffer(b"".join(raw), np.uint64))
+    )
+    order = np.lexsort((names, text))  # equal features of a text stay in their order: the first one counts
+    text, names = text[order], names[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (text[1:] != text[:-1]) | (names[1:] != names[:-1])
+    text, names, order = text[new], names[new], order[new]
+    order = np.lexsort((order, text))
+    text, names = text[order], names[order]
+    count = np.bincount(text, minlength=len(size))
+    filters = -(-count // FILTER_FEATURES)
+    first = np.concatenate(([0], np.cumsum(filters)))
+    place = first[text] + (np.arange(len(text)) - (np.cumsum(count) - count)[text]) // FILTER_FEATURES
+    bits = np.zeros((first[-1], FILTER_BITS), bool)
+    for turn in range(HASHES):
+        bits[place, (names >> np.uint64(11 * turn)).astype(np.int64) % FILTER_BITS] = True
+    packed, held = np.packbits(bits, axis=1), np.bincount(place, minlength=first[-1])
+    return [(packed[s:e], held[s:e]) for s, e in zip(first[:-1].tolist(), first[1:].tolist())]
+
+
+def _rare(data: np.ndarray, bounds: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Places of the windows that are the leftmost rarest of enough runs of windows of their text."""
+    level = entropies(data)
+    if not len(level):
+        return np.zeros(0, np.int64)
+    end = _ends(bounds, len(level))
+    places = np.arange(len(level))
+    inside = places + WINDOW <= end
+    kind, shift = (np.uint32, _PLACE_BITS) if len(level) < 2**_PLACE_BITS else (np.int64, 40)
+    own = np.where(inside, ranks.astype(kind)[level], kind(LEVELS + 2)) << kind(shift) | places.astype(kind)
+    # runs are cut at the end of a text: windows there get places that never win
+    least = kernels.sliding_min(np.concatenate((own, np.full(WINDOW - 1, 1023 << shift, kind))), WINDOW)[: len(own)]
+    winner = (least & kind(2**shift - 1)).astype(np.int64)
+    real = inside & (least < kind((LEVELS + 1) << shift)) & (winner < end)
+    return np.flatnonzero(np.bincount(winner[real], minlength=len(own)) >= POPULAR)
+
+
+def _ones(filters: np.ndarray) -> np.ndarray:
+    """Number of bits that are set in each filter."""
+    return np.bitwise_count(filters.view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
+def _score(common: np.ndarray, ones_a: np.ndarray, ones_b: np.ndarray) -> np.ndarray:
+    most = np.minimum(ones_a, ones_b)
+    chance = ones_a * ones_b / FILTER_BITS
+    return np.clip((common - chance) / np.maximum(most - chance, 1e-9), 0, 1)
 
 
 def _one_way(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    ones_a, ones_b = _ONES[a[0]].sum(axis=1), _ONES[b[0]].sum(axis=1)
-    common = _ONES[a[0][:, None, :] & b[0][None, :, :]].sum(axis=2)
-    most = np.minimum(ones_a[:, None], ones_b[None, :])
-    chance = ones_a[:, None] * ones_b[None, :] / FILTER_BITS
-    score = np.clip((common - chance) / np.maximum(most - chance, 1e-9), 0, 1)
-    return float(np.average(score.max(axis=1), weights=a[1]))
+    ones = _ones(b[0])
+    best = [_score(_ones(own & b[0]), _ones(own), ones).max() for own in a[0]]
+    return float(np.average(best, weights=a[1]))
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -165,6 +176,21 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return _one_way(a, b) if len(a[0]) < len(b[0]) else _one_way(b, a)
 
 
+def likenesses(some: list[tuple[np.ndarray, np.ndarray]], others: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
+    """:func:`likeness` of each pair; those of two single filters are taken together."""
+    single = [len(a[0]) == len(b[0]) == 1 for a, b in zip(some, others)]
+    found = [0.0 if alone else likeness(a, b) for alone, a, b in zip(single, some, others)]
+    at = np.flatnonzero(single)
+    if len(at):
+        a, b = (np.concatenate([side[i][0] for i in at]) for side in (some, others))
+        weights = [np.concatenate([side[i][1] for i in at]) for side in (some, others)]
+        score = _score(_ones(a & b), _ones(a), _ones(b))
+        both = sum(score * w / w for w in weights) / 2
+        for i, value in zip(at.tolist(), np.where((a == b).all(axis=1), 1.0, both).tolist()):
+            found[i] = value
+    return found
+
+
 def written(fingerprint: tuple[np.ndarray, np.ndarray]) -> str:
     """Number of filters, features of each, and the filters in base64."""
     filters, counts = fingerprint
@@ -190,8 +216,8 @@ def _compared(ranks):
             [hashlib.sha256(t.encode()).hexdigest() for t in edited],
             [written(x) for x in own],
             [written(x) for x in other],
-            [likeness(a, b) for a, b in zip(own, other)],
-            [likeness(a, b) for a, b in zip(own, follow)],
+            likenesses(own, other),
+            likenesses(own, follow),
         ]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], columns)
