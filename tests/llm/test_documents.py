@@ -479,3 +479,44 @@ def test_entropies_are_those_of_each_window():
         counts = counts[counts > 0]
         bits = 6 - (counts * np.log2(counts)).sum() / 64
         assert abs(found[at] - bits * 1000 / 6) <= 0.51
+
+
+def test_pieces_in_use_are_encoded_once(monkeypatch):
+    """Before, a full cache was emptied and the commonest pieces were encoded again and again."""
+    own = bpe._tokenizer.__wrapped__(bpe.VOCABULARY)
+    sent = []
+
+    class Counting:
+        def encode(self, text, **more):
+            sent.append(text)
+            return own[0].encode(text, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            sent.extend(texts)
+            return own[0].encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(bpe, "_tokenizer", lambda name: (Counting(), *own[1:]))
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 200_000)
+    common = [f" common{i}." for i in range(300)]
+    for block in range(40):
+        texts = ["start" + "".join(common) + "\n" + " ".join(f"rare{block}x{i}," for i in range(300)), "", "odd  one", f"first{block} last"]
+        texts += [None, "".join(common[block:]), "x" * 2_000 + str(block)]
+        ids, bounds = bpe.encode(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == own[0].encode(text or "", add_special_tokens=False).ids
+        assert own[2].size() <= bpe.CACHE_BYTES * 5 // 4
+    assert own[2].old.names.size and sum(text.count("common") for text in sent) == 300
+
+
+def test_words_that_the_model_takes_at_once_have_the_same_ids():
+    """Letters with a stop after them do not go through the tokenizer's pattern; what is near them does."""
+    rng = np.random.default_rng(7)
+    signs = list("aabcdeXYZ" "éßÿÀþøŁŉſĀ" "×÷ªµºƀǅЖ日" ".,;:!?)" "'\"-|<>(0²½" "\u0301\u200b\U0001f600") + ["'s", "'ll", "ing", "The", "<|endoftext|>"]
+    words = ["".join(rng.choice(signs, n)) for n in rng.integers(1, 8, 6_000)]
+    words += ["a", "a.", "!", "don't.", "été,", "Ł", "naïve!", "a×", "×a.", "÷.", "x" * 3_000 + ".", "ok?!", "<|endoftext|>", "a<|endoftext|>."]
+    texts = [" ".join(words[i : i + 40]) for i in range(0, len(words), 40)] + words + ["\n".join(words[:500])]
+    own = bpe._tokenizer.__wrapped__(bpe.VOCABULARY)
+    assert own[3] is not None
+    ids, bounds = bpe.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == own[0].encode(text, add_special_tokens=False).ids
