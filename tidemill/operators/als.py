@@ -21,6 +21,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from tidemill.functions.fields import ranked_titles
 from tidemill.functions.ids import dense_ids, encode
+from tidemill.operators import few_items
 from tidemill.operators.skew import (
     ROWS_PER_SLICE,
     fits_broadcast,
@@ -152,11 +153,17 @@ def grid(
     """Error on the known ratings for each setting, explicit and implicit.
 
     The implicit rows compare preferences near 0 and 1 with raw ratings, so they rank settings
-    among themselves only. ``parallelism`` fits run side by side.
+    among themselves only. With few items all settings are fitted in the same passes (:mod:`few_items`); with more,
+    ``parallelism`` fits run side by side.
     """
     spark = coded.ratings.sparkSession
-    settings = [("explicit", rank, reg, None) for rank, reg in product(ranks, regs)]
-    settings += [("implicit", *rest) for rest in product(ranks, regs, alphas)]
+    settings = [few_items.Setting("explicit", rank, reg, None) for rank, reg in product(ranks, regs)]
+    settings += [few_items.Setting("implicit", *rest) for rest in product(ranks, regs, alphas)]
+    items = coded.items.count()
+    if items <= few_items.MOST_ITEMS and coded.ratings.take(1):
+        errors = few_items.mean_squared_errors(coded.ratings, items, settings, iterations)
+        rows = [(*setting, error) for setting, error in zip(settings, errors, strict=True)]
+        return spark.createDataFrame(rows, GRID_SCHEMA)
 
     @inheritable_thread_target(spark)
     def error(setting):
