@@ -7,13 +7,17 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators import scans
 from tidemill.operators.ranking import top_per_key
-from tidemill.operators.skew import fits_broadcast
+from tidemill.operators.skew import ROWS_PER_SLICE, fits_broadcast, heavy_in_table
 from tidemill.session import stage
 
 TERMS_PER_TASK = 200_000_000
 # All pairs of a hundred items.
 BROADCAST_ROWS = 10_000
+# Rows that the grid of users and items may send, and similarities that every task may read instead.
+SENT_ROWS, READ_ROWS = 1_000_000, 400_000_000
+TERMS_HELD = 8_000_000
 
 
 def user_items(prefs: DataFrame) -> DataFrame:
@@ -28,7 +32,7 @@ def user_items(prefs: DataFrame) -> DataFrame:
 def unseen_scores(
     sims: DataFrame,
     held: DataFrame,
-    terms_per_task: int = TERMS_PER_TASK,
+    terms_per_task: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Sum of preference times similarity for every item the user does not hold.
@@ -43,7 +47,7 @@ def unseen_scores(
     edges = sims.select(F.col("item_id1").alias("item_id"), "item_id2", "similar")
     if fits_broadcast(edges, max_rows=broadcast_rows):
         return _scores_by_broadcast(edges, held)
-    return _scores_by_grid(edges, held, terms_per_task)
+    return _scores_by_grid(edges, held, terms_per_task or TERMS_PER_TASK)
 
 
 def _scores_by_broadcast(edges: DataFrame, held: DataFrame) -> DataFrame:
@@ -67,18 +71,23 @@ def _scores_by_broadcast(edges: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
+def count_terms(edges: DataFrame, held: DataFrame) -> int:
+    """Pairs of a held row and a similarity of its item."""
+    per_item = (
+        held.groupBy("item_id")
+        .agg(F.count("*").alias("users"))
+        .join(edges.groupBy("item_id").agg(F.count("*").alias("neighbours")), "item_id")
+    )
+    return per_item.agg(F.sum(F.col("users") * F.col("neighbours"))).first()[0] or 0
+
+
 def grid_size(edges: DataFrame, held: DataFrame, terms_per_task: int) -> tuple[int, int]:
     """How many shards of users and blocks of recommended items to score in.
 
     Enough cells for the number of terms, in the proportion that moves the fewest rows: every
     held row goes to all blocks of its shard, every similarity to all shards of its block.
     """
-    per_item = (
-        held.groupBy("item_id")
-        .agg(F.count("*").alias("users"))
-        .join(edges.groupBy("item_id").agg(F.count("*").alias("neighbours")), "item_id")
-    )
-    terms = per_item.agg(F.sum(F.col("users") * F.col("neighbours"))).first()[0] or 0
+    terms = count_terms(edges, held)
     cores = held.sparkSession.sparkContext.defaultParallelism
     cells = max(cores, math.ceil(terms / terms_per_task))
     ratio = edges.count() / max(held.count(), 1)
@@ -127,9 +136,33 @@ def _stored(prefs: DataFrame) -> DataFrame:
     return stage(user_items(prefs), "held", together="user_id")
 
 
-def recommend_top(sims: DataFrame, prefs: DataFrame, n: int = 30, **sizes) -> DataFrame:
-    """The ``n`` best unseen items per user, as ``(user_id, item_id, pref, rank)``."""
-    scores = unseen_scores(sims, _stored(prefs), **sizes)
+def recommend_top(
+    sims: DataFrame,
+    prefs: DataFrame,
+    n: int = 30,
+    terms_per_task: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    sent_rows: int = SENT_ROWS,
+    terms_held: int = TERMS_HELD,
+) -> DataFrame:
+    """The ``n`` best unseen items per user, as ``(user_id, item_id, pref, rank)``.
+
+    Where a grid would send more than ``sent_rows`` rows, and unless one of ``terms_per_task`` is asked for, each task holds some users and
+    reads all similarities (:func:`scans.best_unseen`), so neither held rows nor similarities are repeated on disk.
+    """
+    held = _stored(prefs)
+    edges = sims.select(F.col("item_id1").alias("item_id"), "item_id2", "similar")
+    scores = None
+    if terms_per_task is None and not fits_broadcast(edges, max_rows=broadcast_rows):
+        rows, links = held.count(), edges.count()
+        shards, blocks = grid_size(edges, held, TERMS_PER_TASK)
+        if rows * (blocks + 1) + links * shards > sent_rows and links <= READ_ROWS:
+            cores = held.sparkSession.sparkContext.defaultParallelism
+            tasks = max(2 * cores, math.ceil(count_terms(edges, held) / terms_held))
+            if tasks <= scans.MOST_TASKS:
+                scores = scans.best_unseen(edges, held, n, tasks, lambda df, key: heavy_in_table(df, key, ROWS_PER_SLICE))
+    if scores is None:
+        scores = unseen_scores(sims, held, terms_per_task, broadcast_rows)
     return top_per_key(scores, "user_id", "pref", "item_id", n)
 
 
